@@ -87,9 +87,9 @@ def lookup(
     # Zero for every row, written so that it stays a column and a join key.
     zero = F.pmod(digest, F.lit(1)).cast("int")
     flagged = right.where(no_null).withColumn("_hit", F.lit(True))
-    joined = salted.join(
-        flagged.where(~is_heavy).withColumn("_salt", zero), [*keys, "_salt"], "left"
-    )
+    # The hint keeps an underestimate from broadcasting what was measured as too large.
+    cold = flagged.where(~is_heavy).withColumn("_salt", zero).hint("merge")
+    joined = salted.join(cold, [*keys, "_salt"], "left")
     if heavy:
         renamed = [F.col(c).alias(f"_heavy_{c}") for c in [*values, "_hit"]]
         few = flagged.where(is_heavy).select(*keys, *renamed)
