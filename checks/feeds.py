@@ -96,15 +96,30 @@ from {events} e
 """
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The driver tables the feeds are made of."""
-    return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in TABLES}
+# Tables the feeds have one row per row of.
+LARGE = ("lineitem", "events")
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a table of few files.
+
+    The driver writes each table as one file with one row group, which a single
+    task reads; a table of many files is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _spread(df) if name in LARGE else df
 
 
 def feed(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """One of the feeds above, from the tables of ``sf_dir``."""
-    used = {n: df for n, df in tables(spark, sf_dir).items() if f"{{{n}}}" in text}
-    return spark.sql(text, **used)
+    used = [name for name in TABLES if f"{{{name}}}" in text]
+    return spark.sql(text, **{name: table(spark, sf_dir, name) for name in used})
 
 
 def oracle_feed(text: str) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from shoplake import operators as ops
 from shoplake import plans
 from shoplake.schemas import ERP_BRONZE, ERP_SILVER, IOT_BRONZE, SENSOR_SILVER, pos_bronze, pos_silver
 from shoplake.sources import read_csv_pos, read_event_payloads, read_json_events, read_parquet_erp
-from shoplake.storage import materialize, scratch_path
+from shoplake.storage import materialize, scratch_path, write_table
 from shoplake.streaming import ingest_stream, merge_stream, read_merged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,9 +66,41 @@ def _sensor(spark: SparkSession, sf: str) -> DataFrame:
     return plans.silver_sensor(_iot_raw(spark, sf))
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """Cleansed tables are stored once and read by all that follows."""
-    return materialize(df, name)
+_SILVER = {"pos": _pos, "erp": _erp, "sensor": _sensor}
+
+
+@cache
+def _silver_path(spark: SparkSession, sf: str, name: str) -> str:
+    path = scratch_path(spark, f"silver-{name}")
+    write_table(_SILVER[name](spark, sf), path)
+    return path
+
+
+def stored_silver(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A cleansed table, written by its first reader in the session."""
+    return spark.read.parquet(_silver_path(spark, sf, name))
+
+
+_DIMS = {
+    "date": lambda pos, erp, sensor: plans.dim_date(pos, erp, sensor),
+    "store": lambda pos, erp, sensor: plans.dim_store(pos, sensor),
+    "product": lambda pos, erp, sensor: plans.dim_product(pos),
+    "customer": lambda pos, erp, sensor: plans.dim_customer(pos),
+    "supplier": lambda pos, erp, sensor: plans.dim_supplier(erp),
+}
+
+
+@cache
+def _dim_path(spark: SparkSession, sf: str, name: str) -> str:
+    path = scratch_path(spark, f"dim-{name}")
+    silver = [stored_silver(spark, sf, table) for table in _SILVER]
+    write_table(_DIMS[name](*silver), path)
+    return path
+
+
+def stored_dim(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A dimension, written by its first reader in the session."""
+    return spark.read.parquet(_dim_path(spark, sf, name))
 
 
 def silver_pos(spark: SparkSession, sf: str) -> DataFrame:
@@ -109,18 +142,32 @@ def dim_supplier(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(plans.dim_supplier(_erp(spark, sf)))
 
 
-# --- facts ----------------------------------------------------------------------
+# --- facts, from stored cleansed tables and dimensions ----------------------------
 
 
 def _sales(spark: SparkSession, sf: str, **options) -> DataFrame:
-    pos = _stored(_pos(spark, sf), "pos")
-    return plans.fct_sales(
-        pos,
-        plans.dim_store(pos, _sensor(spark, sf)),
-        plans.dim_product(pos),
-        plans.dim_customer(pos),
-        **options,
-    )
+    dims = [stored_dim(spark, sf, name) for name in ("store", "product", "customer")]
+    return plans.fct_sales(stored_silver(spark, sf, "pos"), *dims, **options)
+
+
+def _purchase_orders(spark: SparkSession, sf: str) -> DataFrame:
+    dims = [stored_dim(spark, sf, name) for name in ("store", "supplier")]
+    return plans.fct_purchase_orders(stored_silver(spark, sf, "erp"), *dims)
+
+
+def _iot_readings(spark: SparkSession, sf: str) -> DataFrame:
+    stores = stored_dim(spark, sf, "store")
+    return plans.fct_iot_sensor_readings(stored_silver(spark, sf, "sensor"), stores)
+
+
+def _daily_sales(spark: SparkSession, sf: str) -> DataFrame:
+    stores = stored_dim(spark, sf, "store")
+    return plans.fct_daily_sales(stored_silver(spark, sf, "pos"), stores)
+
+
+def _margin(spark: SparkSession, sf: str) -> DataFrame:
+    silver = [stored_silver(spark, sf, name) for name in ("pos", "erp")]
+    return plans.fct_store_category_margin(*silver, stored_dim(spark, sf, "store"))
 
 
 def sales(spark: SparkSession, sf: str) -> DataFrame:
@@ -136,14 +183,7 @@ def sales_numbered(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def daily_sales(spark: SparkSession, sf: str) -> DataFrame:
-    pos = _stored(_pos(spark, sf), "pos")
-    return _plain(plans.fct_daily_sales(pos, plans.dim_store(pos, _sensor(spark, sf))))
-
-
-def _purchase_orders(spark: SparkSession, sf: str, **options) -> DataFrame:
-    erp = _stored(_erp(spark, sf), "erp")
-    stores = plans.dim_store(_pos(spark, sf), _sensor(spark, sf))
-    return plans.fct_purchase_orders(erp, stores, plans.dim_supplier(erp), **options)
+    return _plain(_daily_sales(spark, sf))
 
 
 def purchase_orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -151,15 +191,7 @@ def purchase_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def margin(spark: SparkSession, sf: str) -> DataFrame:
-    pos = _stored(_pos(spark, sf), "pos")
-    stores = plans.dim_store(pos, _sensor(spark, sf))
-    return _plain(plans.fct_store_category_margin(pos, _erp(spark, sf), stores))
-
-
-def _iot_readings(spark: SparkSession, sf: str, **options) -> DataFrame:
-    sensor = _stored(_sensor(spark, sf), "sensor")
-    stores = plans.dim_store(_pos(spark, sf), sensor)
-    return plans.fct_iot_sensor_readings(sensor, stores, **options)
+    return _plain(_margin(spark, sf))
 
 
 def iot_readings(spark: SparkSession, sf: str) -> DataFrame:
@@ -186,36 +218,17 @@ def fact_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def validate_dims(spark: SparkSession, sf: str) -> DataFrame:
-    pos = _stored(_pos(spark, sf), "pos")
-    erp = _stored(_erp(spark, sf), "erp")
-    sensor = _stored(_sensor(spark, sf), "sensor")
-    return plans.validate_dims(
-        {
-            "dim_date": plans.dim_date(pos, erp, sensor),
-            "dim_store": plans.dim_store(pos, sensor),
-            "dim_product": plans.dim_product(pos),
-            "dim_customer": plans.dim_customer(pos),
-            "dim_supplier": plans.dim_supplier(erp),
-        }
-    )
+    return plans.validate_dims({f"dim_{name}": stored_dim(spark, sf, name) for name in _DIMS})
 
 
 def validate_facts(spark: SparkSession, sf: str) -> DataFrame:
-    pos = _stored(_pos(spark, sf), "pos")
-    erp = _stored(_erp(spark, sf), "erp")
-    sensor = _stored(_sensor(spark, sf), "sensor")
-    stores = plans.dim_store(pos, sensor)
     return plans.validate_facts(
         {
-            "fct_sales": plans.fct_sales(
-                pos, stores, plans.dim_product(pos), plans.dim_customer(pos)
-            ),
-            "fct_daily_sales": plans.fct_daily_sales(pos, stores),
-            "fct_purchase_orders": plans.fct_purchase_orders(
-                erp, stores, plans.dim_supplier(erp)
-            ),
-            "fct_store_category_margin": plans.fct_store_category_margin(pos, erp, stores),
-            "fct_iot_sensor_readings": plans.fct_iot_sensor_readings(sensor, stores),
+            "fct_sales": _sales(spark, sf),
+            "fct_daily_sales": _daily_sales(spark, sf),
+            "fct_purchase_orders": _purchase_orders(spark, sf),
+            "fct_store_category_margin": _margin(spark, sf),
+            "fct_iot_sensor_readings": _iot_readings(spark, sf),
         }
     )
 
@@ -229,7 +242,7 @@ def expected_count(spark: SparkSession, sf: str) -> DataFrame:
 
 def _order_states(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Two states of the orders: low ones arrive, urgent ones go, high ones cost more."""
-    orders = feeds.tables(spark, sf)["orders"]
+    orders = feeds.table(spark, sf, "orders")
     dearer = F.when(F.col("o_orderpriority") == "2-HIGH", F.col("o_totalprice") + 1)
     old = orders.where("o_orderpriority <> '5-LOW'")
     new = orders.where("o_orderpriority <> '1-URGENT'").withColumn(
@@ -247,7 +260,7 @@ def change_feed(spark: SparkSession, sf: str) -> DataFrame:
 
 def _merge_full(spark: SparkSession, sf: str, **options) -> DataFrame:
     old, new = _order_states(spark, sf)
-    changes = _stored(ops.change_feed(old, new, ["o_orderkey"]), "changes")
+    changes = materialize(ops.change_feed(old, new, ["o_orderkey"]), "changes")
     return ops.merge(old, changes, ["o_orderkey"], **options)
 
 
@@ -262,7 +275,7 @@ def merge_shuffled(spark: SparkSession, sf: str) -> DataFrame:
 def merge_append(spark: SparkSession, sf: str) -> DataFrame:
     """All orders delivered again at another price: only unknown ones are added."""
     old, _ = _order_states(spark, sf)
-    again = feeds.tables(spark, sf)["orders"].withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    again = feeds.table(spark, sf, "orders").withColumn("o_totalprice", F.col("o_totalprice") + 1)
     return ops.merge(old, ops.append_feed(again), ["o_orderkey"])
 
 

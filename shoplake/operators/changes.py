@@ -7,8 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StringType
 
-from shoplake.operators.lookup import BROADCAST_BYTES, fits_broadcast, lookup
+from shoplake.operators.lookup import BROADCAST_BYTES, byte_size, lookup
 
 # Change metadata: INSERT or DELETE, and whether the row is half of an update.
 ACTION = "_action"
@@ -59,13 +60,22 @@ def insert_absent(
     """Rows of ``changes`` whose key ``target`` does not hold.
 
     Rows of one key within ``changes`` stay together, and NULL keys are always
-    absent. Only the key columns of ``target`` are read; while the wanted keys
-    are small they are broadcast and ``target`` is not shuffled.
+    absent. Only the key columns of ``target`` are read, and only row groups that
+    can hold keys between the least and the greatest wanted one. While the wanted
+    keys are small they are broadcast and ``target`` is not shuffled.
     """
     keys = list(keys)
     wanted = changes.where(_all_set(keys)).select(*keys).distinct()
+    ranged = [f.name for f in wanted.schema if isinstance(f.dataType, StringType | IntegralType)]
+    seen = wanted.agg(
+        byte_size(wanted).alias("_bytes"),
+        *[F.min(k).alias(f"_least_{k}") for k in ranged],
+        *[F.max(k).alias(f"_most_{k}") for k in ranged],
+    ).first()
     held = target.where(_all_set(keys)).select(*keys)
-    fits = fits_broadcast(wanted, broadcast_limit)
+    for k in ranged:
+        held = held.where(F.col(k).between(F.lit(seen[f"_least_{k}"]), F.lit(seen[f"_most_{k}"])))
+    fits = seen["_bytes"] <= broadcast_limit
     if fits:
         present = held.join(F.broadcast(wanted), keys, "left_semi").distinct()
     else:

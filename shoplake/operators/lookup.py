@@ -19,15 +19,17 @@ _HEAVY = 128
 _COUNTERS = 8192
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Measure ``df`` (rows and text lengths) against ``limit`` bytes."""
-    if limit <= 0:
-        return False
+def byte_size(df: DataFrame) -> Column:
+    """Aggregate: bytes that the rows of ``df`` need, by row count and text lengths."""
     texts = [f.name for f in df.schema if isinstance(f.dataType, StringType | BinaryType)]
     fixed = F.lit(16 * len(df.columns)).cast("bigint")
     width = reduce(add, [F.coalesce(F.octet_length(c), F.lit(0)) for c in texts], fixed)
-    measured = df.agg(F.sum(width).alias("bytes")).first()
-    return (measured.bytes or 0) <= limit
+    return F.coalesce(F.sum(width), F.lit(0).cast("bigint"))
+
+
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Measure ``df`` against ``limit`` bytes."""
+    return limit > 0 and df.agg(byte_size(df).alias("bytes")).first().bytes <= limit
 
 
 def _heavy_digests(df: DataFrame, digest: Column) -> list[int]:

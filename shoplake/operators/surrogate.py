@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
@@ -53,7 +54,12 @@ def assign_surrogate_key(
     sizes = sorted(stored.groupBy("_part").agg((F.max("_row") + 1).alias("rows")).collect())
     firsts = accumulate((size.rows for size in sizes), initial=start)
     before = df.sparkSession.createDataFrame(
-        [(size._part, first) for size, first in zip(sizes, firsts)], "_part int, _first bigint"
+        pa.table(
+            {
+                "_part": pa.array([size._part for size in sizes], pa.int32()),
+                "_first": pa.array([first for _, first in zip(sizes, firsts)], pa.int64()),
+            }
+        )
     )
     numbered = stored.join(F.broadcast(before), "_part")
     return numbered.select((F.col("_first") + F.col("_row")).alias(name), *df.columns)

@@ -248,9 +248,17 @@ def test_insert_absent_reads_only_the_keys_of_the_target(spark, tmp_path):
     plan = insert_absent(spark.read.parquet(path), new, ["k"])
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<k:string>" in text
+    assert "GreaterThanOrEqual(k,a), LessThanOrEqual(k,b)" in text
     assert rows(plan) == [("b", 1, "s")]
 
 
+def test_insert_absent_without_wanted_keys(spark):
+    target = spark.createDataFrame([("a", 0, "t")], STATE)
+    assert rows(insert_absent(target, target.where("false"), ["k"])) == []
+    unknown = spark.createDataFrame([(None, 1, "s"), (None, 1, "s")], STATE)
+    assert rows(insert_absent(target, unknown, ["k"])) == [(None, 1, "s")] * 2
+
+
 _states = st.dictionaries(
     st.sampled_from("abcdef"),
     st.tuples(st.one_of(st.none(), st.integers(0, 2)), st.one_of(st.none(), st.sampled_from("xy"))),
