@@ -101,13 +101,13 @@ LARGE = ("lineitem", "events")
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a table of few files.
+    """Give every core a share of a table with fewer splits than cores.
 
-    The driver writes each table as one file with one row group, which a single
-    task reads; a table of many files is left as it is.
+    The driver writes each table as one small file, which a single task reads; a
+    table of many splits is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -176,6 +176,20 @@ def _counts(names: dict[str, str]) -> str:
     )
 
 
+_DIM_BLOCKS = {
+    "DIM_DATE": "d_date",
+    "DIM_STORE": "d_store",
+    "DIM_PRODUCT": "d_product",
+    "DIM_CUSTOMER": "d_customer",
+    "DIM_SUPPLIER": "d_supplier",
+}
+_FACT_BLOCKS = {
+    "FCT_SALES": "f_sales",
+    "FCT_DAILY_SALES": "f_daily",
+    "FCT_PURCHASE_ORDERS": "f_orders",
+    "FCT_STORE_CATEGORY_MARGIN": "f_margin",
+    "FCT_IOT_SENSOR_READINGS": "f_iot",
+}
 _MERGED = "select * from new_state"
 _SALES = "select * from f_sales"
 
@@ -208,24 +222,9 @@ ORACLE: dict[str, str] = {
     "dim_product": _query("select * from d_product"),
     "dim_customer": _query("select * from d_customer"),
     "dim_supplier": _query("select * from d_supplier"),
-    "validate_dims": _counts(
-        {
-            "DIM_DATE": "d_date",
-            "DIM_STORE": "d_store",
-            "DIM_PRODUCT": "d_product",
-            "DIM_CUSTOMER": "d_customer",
-            "DIM_SUPPLIER": "d_supplier",
-        }
-    ),
-    "validate_facts": _counts(
-        {
-            "FCT_SALES": "f_sales",
-            "FCT_DAILY_SALES": "f_daily",
-            "FCT_PURCHASE_ORDERS": "f_orders",
-            "FCT_STORE_CATEGORY_MARGIN": "f_margin",
-            "FCT_IOT_SENSOR_READINGS": "f_iot",
-        }
-    ),
+    "validate_dims": _counts(_DIM_BLOCKS),
+    "validate_facts": _counts(_FACT_BLOCKS),
+    "lakehouse": _counts(_DIM_BLOCKS | _FACT_BLOCKS),
     "expected_count": _query(
         "select count(*) as row_count, cast(45000 as bigint) as expected_count, "
         "count(*) = 45000 as as_expected from s_erp"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from checks import feeds
 from shoplake import operators as ops
 from shoplake import plans
+from shoplake.plans.lakehouse import Lakehouse
 from shoplake.schemas import ERP_BRONZE, ERP_SILVER, IOT_BRONZE, SENSOR_SILVER, pos_bronze, pos_silver
 from shoplake.sources import read_csv_pos, read_event_payloads, read_json_events, read_parquet_erp
 from shoplake.storage import materialize, scratch_path, write_table
@@ -395,6 +396,21 @@ def stream_erp(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def lakehouse(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole build, from feed files to row counts of the star schema."""
+    root = scratch_path(spark, "lakehouse")
+    sources = {feed: f"{root}/feeds/{feed}" for feed in ("pos", "iot", "erp")}
+    _write_pos_files(_pos_raw(spark, sf), sources["pos"])
+    _write_iot_files(feeds.feed(spark, sf, feeds.IOT), sources["iot"])
+    _erp_raw(spark, sf).write.parquet(sources["erp"])
+    lake = Lakehouse(spark, root)
+    for feed, folder in sources.items():
+        lake.load(feed, folder)
+    lake.build_silver()
+    gold = lake.build_gold()
+    return plans.validate_dims(gold).unionByName(plans.validate_facts(gold))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -429,5 +445,6 @@ QUERIES: dict[str, Query] = {
         stream_pos,
         stream_iot,
         stream_erp,
+        lakehouse,
     )
 }

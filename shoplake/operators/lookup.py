@@ -9,7 +9,7 @@ from typing import Literal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import BinaryType, MapType, StringType, VariantType
 
 # A side is broadcast only when its measured size is at most this.
 BROADCAST_BYTES = 128 << 20
@@ -59,10 +59,13 @@ def lookup(
     """Join ``left`` to ``right``, which has at most one row per key; NULL keys never match.
 
     A right side within ``broadcast_limit`` bytes is broadcast and ``left`` is
-    not shuffled. Otherwise both sides shuffle by key. Left rows that would pile
-    up in one task there, those with a NULL key or a heavy key, carry the number
-    of the partition they come from as an extra join key, which spreads them;
-    heavy keys then get their values from a broadcast of their few right rows.
+    not shuffled. Otherwise both sides shuffle by key, with a digest of the key as
+    an extra join key. Left rows that would pile up in one task there, those with
+    a NULL key or a heavy key, carry a digest of their content and map partition
+    in its place, which spreads them, also when they are copies. It does not depend
+    on the order of rows, so a task that is run again sends each row where it went
+    before. Heavy keys then get their values from a broadcast of their few right
+    rows.
     ``fits`` skips the measurement when the caller has done it. ``heavy_from``
     names a cheaper table with the same keys to look for heavy ones in, such as
     the stored table that ``left`` is derived from.
@@ -70,6 +73,10 @@ def lookup(
     keys = list(keys)
     values = [c for c in right.columns if c not in keys]
     columns = [*left.columns, *values]
+    for k in keys:
+        if left.schema[k].dataType != right.schema[k].dataType:
+            # Equal values of two types would have two digests.
+            raise ValueError(f"both sides need one type for {k}")
     no_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     if how == "inner":
         left = left.where(no_null)
@@ -83,15 +90,14 @@ def lookup(
     heavy = _heavy_digests(sampled.where(no_null), digest)
     is_heavy = digest.isin(heavy) if heavy else F.lit(False)
     has_null = reduce(or_, [F.col(k).isNull() for k in keys])
-    salted = left.withColumn(
-        "_salt", F.when(has_null | is_heavy, F.spark_partition_id() + 1).otherwise(0)
-    )
-    # Zero for every row, written so that it stays a column and a join key.
-    zero = F.pmod(digest, F.lit(1)).cast("int")
+    content = [f.name for f in left.schema if not isinstance(f.dataType, VariantType | MapType)]
+    scattered = F.xxhash64(F.spark_partition_id(), *content)
+    routed = left.withColumn("_route", F.when(has_null | is_heavy, scattered).otherwise(digest))
     flagged = right.where(no_null).withColumn("_hit", F.lit(True))
     # The hint keeps an underestimate from broadcasting what was measured as too large.
-    cold = flagged.where(~is_heavy).withColumn("_salt", zero).hint("merge")
-    joined = salted.join(cold, [*keys, "_salt"], "left")
+    cold = flagged.where(~is_heavy).withColumn("_route", digest).hint("merge")
+    # The route comes first: both sides then sort by a number, not by texts.
+    joined = routed.join(cold, ["_route", *keys], "left")
     if heavy:
         renamed = [F.col(c).alias(f"_heavy_{c}") for c in [*values, "_hit"]]
         few = flagged.where(is_heavy).select(*keys, *renamed)

@@ -17,7 +17,11 @@ _ROW_BITS = (1 << 33) - 1
 
 
 def assign_surrogate_key(
-    df: DataFrame, name: str, order_by: Sequence[str] | None = None, start: int = 1
+    df: DataFrame,
+    name: str,
+    order_by: Sequence[str] | None = None,
+    start: int = 1,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add a unique BIGINT column ``name`` as the first column.
 
@@ -28,7 +32,8 @@ def assign_surrogate_key(
     With ``order_by`` the keys are dense from ``start`` in that order (NULLs
     last, ties by the remaining columns). Rows are range-partitioned, sorted and
     written with their place in the partition; each partition then needs only
-    the number of rows before it, one number per partition.
+    the number of rows before it, one number per partition. ``ranges`` fixes how
+    many there are; by default their compressed size decides.
     """
     if not order_by:
         key = F.monotonically_increasing_id() + F.lit(start)
@@ -44,7 +49,7 @@ def assign_surrogate_key(
     order = [*[F.col(c).asc_nulls_last() for c in [*order_by, *ties]], F.col("_origin").asc()]
     placed = (
         df.withColumn("_origin", F.spark_partition_id())
-        .repartitionByRange(*order)
+        .repartitionByRange(*([ranges] if ranges else []), *order)
         .sortWithinPartitions(*order)
         .drop("_origin")
         .withColumn("_part", F.spark_partition_id())

@@ -30,8 +30,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/shoplake/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder, in a folder per application.
+
+    Nothing reads that folder once the application has ended.
+    """
+    application = spark.conf.get("spark.app.id", "session")
+    return f"{shared_dir(spark)}/shoplake/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -104,6 +104,21 @@ def test_lookup_equals_a_plain_join(spark, limit, how):
     assert rows(got) == rows(plain)
 
 
+def test_lookup_refuses_keys_of_two_types(spark):
+    with pytest.raises(ValueError, match="one type"):
+        lookup(spark.range(3), spark.createDataFrame([(1, 2)], "id int, v int"), ["id"])
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_lookup_of_copies_with_one_heavy_key(spark, how):
+    left = spark.range(0, 6000, 1, 6).selectExpr("if(id % 3 = 0, 7L, id) as k", "'same' as w")
+    right = spark.range(0, 6000, 2).selectExpr("id as k", "-id as v").where("k <> 7").union(
+        spark.sql("select 7L, cast(null as bigint)")
+    )
+    got = lookup(left, right, ["k"], how, broadcast_limit=0)
+    assert rows(got) == rows(left.join(right, "k", how).select("k", "w", "v"))
+
+
 def test_lookup_by_two_keys(spark):
     left = spark.createDataFrame([(1, "a", 1), (1, None, 2), (None, "a", 3), (2, "b", 4)], "x int, y string, n int")
     right = spark.createDataFrame([(1, "a", "hit"), (2, "c", "no"), (1, None, "never")], "x int, y string, v string")
@@ -125,12 +140,12 @@ def test_lookup_shuffle_spreads_heavy_and_unknown_keys(spark):
     assert max(sizes) < 900 and len(sizes) == 8
 
 
-def test_lookup_shuffles_by_key_and_salt(spark):
+def test_lookup_shuffles_by_route_and_key(spark):
     left, right = _sides(spark)
     got = lookup(left, right, ["k"], broadcast_limit=0, fits=False)
     plan = got._jdf.queryExecution().executedPlan().toString()
     shuffles = [line for line in plan.splitlines() if "hashpartitioning" in line]
-    assert len(shuffles) == 2 and all("_salt" in line for line in shuffles)
+    assert len(shuffles) == 2 and all("_route" in line for line in shuffles)
 
 
 def test_fits_broadcast_measures_text(spark):

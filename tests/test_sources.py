@@ -4,7 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, StructType, TimestampNTZType
 
 from shoplake.schemas import IOT_BRONZE, pos_bronze
 from shoplake.sources import (
@@ -15,6 +15,7 @@ from shoplake.sources import (
     read_json_events,
     read_parquet_erp,
 )
+from shoplake.sources.pos_csv import typed_columns
 from tests.conftest import rows
 
 RUN = dt.datetime(2024, 5, 1, 12, 0, 0)
@@ -168,6 +169,15 @@ def test_csv_numbers_round_half_away_from_zero(spark, tmp_path):
     assert rows(df, "quantity", "discount_pct", "total_amount") == [(3, -3, Decimal("4.06"))]
 
 
+def test_csv_timestamp_format(spark):
+    text = spark.createDataFrame([("2024-01-02 03:04:05",), ("N/A",)], "at string")
+    typed = typed_columns(text, StructType().add("at", TimestampNTZType()), CsvFormat())
+    assert rows(typed) == [(dt.datetime(2024, 1, 2, 3, 4, 5),), (None,)]
+    bad = spark.createDataFrame([("02.01.2024",)], "at string")
+    with pytest.raises(Exception):
+        typed_columns(bad, typed.schema, CsvFormat()).collect()
+
+
 def test_csv_money_type_without_cents(spark, tmp_path):
     path = _file(tmp_path / "in", "a.csv", f"{HEADER}\n{GOOD}\n")
     df = read_csv_pos(spark, path, DecimalType(38, 0))
