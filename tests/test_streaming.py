@@ -174,3 +174,31 @@ def test_whole_lakehouse(spark, tmp_path):
         assert len(set(keys)) == 3
         # A second load of the same files adds nothing.
         assert lake.load("pos", str(tmp_path / "pos")).count() == 3
+
+
+def test_lakehouse_updates_without_a_full_refresh(spark, tmp_path):
+    csv(tmp_path / "pos", "a.csv", line("1"), line("2"))
+    put(tmp_path / "iot", "a.json", f"[{event('E1', 'a', 'b')}]")
+    spark.sql("select 'O1' as order_id").write.parquet(str(tmp_path / "erp"))
+    lake = Lakehouse(spark, str(tmp_path / "lake"))
+    for feed in ("pos", "iot", "erp"):
+        lake.load(feed, str(tmp_path / feed))
+    lake.build_silver()
+    lake.update_silver()
+    csv(tmp_path / "pos", "b.csv", line("2", "9.99"), line("3"))
+    put(tmp_path / "iot", "b.json", f"[{event('E2', 'c')}]")
+    spark.sql("select 'O2' as order_id").write.mode("append").parquet(str(tmp_path / "erp"))
+    for feed in ("pos", "iot", "erp"):
+        lake.load(feed, str(tmp_path / feed))
+    silver = lake.update_silver()
+    sold = silver["stg_csv_transaction"].selectExpr("transaction_id", "cast(total_amount as string)")
+    assert rows(sold) == [("1", "4.05"), ("2", "4.05"), ("3", "4.05")]
+    assert rows(silver["stg_json_sensor"], "event_id", "sensor") == [
+        ("E1", "a"),
+        ("E1", "b"),
+        ("E2", "c"),
+    ]
+    assert rows(silver["stg_erp_orders"], "order_id") == [("O1",), ("O2",)]
+    # A full refresh takes later versions of a transaction as they are in the raw table.
+    again = lake.build_silver()["stg_csv_transaction"]
+    assert again.count() == 4
