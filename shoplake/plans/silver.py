@@ -67,17 +67,20 @@ def silver_sensor(
     A reading whose value is no number fails the query, or becomes NULL with
     ``on_bad_value="null"``.
     """
-    spark = bronze_iot.sparkSession
     payload = F.col("raw_payload")
-    listed = F.variant_get(payload.outer(), "$.readings", "variant")
-    unnested = bronze_iot.lateralJoin(spark.tvf.variant_explode(listed))
+    events = bronze_iot.select(
+        *[c for c in bronze_iot.columns if c != "raw_payload"],
+        payload_text(payload, "$.metadata.firmware").alias("firmware"),
+        payload_int(payload, "$.metadata.battery_pct").alias("battery_pct"),
+        payload_int(payload, "$.metadata.signal_rssi").alias("signal_rssi"),
+        payload_int(payload, "$.metadata.store_floor").alias("store_floor_sensor"),
+        F.variant_get(payload, "$.readings", "variant").alias("readings"),
+    )
+    listed = bronze_iot.sparkSession.tvf.variant_explode(F.col("readings").outer())
+    unnested = events.lateralJoin(listed)
     reading = F.col("value")
     number = payload_text(reading, "$.value")
     shredded = {
-        "firmware": payload_text(payload, "$.metadata.firmware"),
-        "battery_pct": payload_int(payload, "$.metadata.battery_pct"),
-        "signal_rssi": payload_int(payload, "$.metadata.signal_rssi"),
-        "store_floor_sensor": payload_int(payload, "$.metadata.store_floor"),
         "sensor": payload_text(reading, "$.sensor"),
         "sensor_value": number.try_cast("double")
         if on_bad_value == "null"

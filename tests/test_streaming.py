@@ -149,11 +149,11 @@ def test_whole_lakehouse(spark, tmp_path):
         "select 'O1' as order_id, '2024-01-02' as order_date, 'S1' as store_id, 'V' as supplier_id,"
         " 'Dairy' as category, 4L as quantity_ordered, 1.0D as total_cost, 'open' as order_status"
     ).write.parquet(str(tmp_path / "erp"))
+    lake = Lakehouse(spark, str(tmp_path / "lake"))
+    for feed in ("pos", "iot", "erp", "events"):
+        lake.load(feed, str(tmp_path / ("iot" if feed == "events" else feed)))
+    lake.build_silver()
     for partitioned in (False, True):
-        lake = Lakehouse(spark, str(tmp_path / f"lake-{partitioned}"))
-        for feed in ("pos", "iot", "erp", "events"):
-            lake.load(feed, str(tmp_path / ("iot" if feed == "events" else feed)))
-        lake.build_silver()
         gold = lake.build_gold(partition_facts=partitioned)
         counts = {name: df.count() for name, df in gold.items()}
         assert counts == {
@@ -170,10 +170,10 @@ def test_whole_lakehouse(spark, tmp_path):
         }
         margin = rows(gold["fct_store_category_margin"], "store_key", "ordered_units")
         assert margin == [(1, 4), (2, 0)]
-        keys = rows(gold["fct_sales"], "sales_key")
-        assert len(set(keys)) == 3
-        # A second load of the same files adds nothing.
-        assert lake.load("pos", str(tmp_path / "pos")).count() == 3
+        assert len(set(rows(gold["fct_sales"], "sales_key"))) == 3
+        assert rows(gold["fct_sales"], "date_key") == [(20240102,)] * 3
+    # A second load of the same files adds nothing.
+    assert lake.load("pos", str(tmp_path / "pos")).count() == 3
 
 
 def test_lakehouse_updates_without_a_full_refresh(spark, tmp_path):
