@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, StringType
 
-from shoplake.operators.lookup import BROADCAST_BYTES, byte_size, lookup
+from shoplake.operators.lookup import BROADCAST_BYTES, all_set, byte_size, lookup
 
 # Change metadata: INSERT or DELETE, and whether the row is half of an update.
 ACTION = "_action"
@@ -33,7 +34,7 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
     before = old.select(F.struct(*columns).alias("_old"))
     after = new.select(F.struct(*columns).alias("_new"))
     same_key = [F.col(f"_old.{k}").eqNullSafe(F.col(f"_new.{k}")) for k in keys]
-    paired = before.join(after, reduce(lambda a, b: a & b, same_key), "full_outer")
+    paired = before.join(after, reduce(and_, same_key), "full_outer")
     changed = paired.where(~F.col("_old").eqNullSafe(F.col("_new")))
     is_update = F.col("_old").isNotNull() & F.col("_new").isNotNull()
 
@@ -47,10 +48,6 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
     return changed.select(F.explode(pair).alias("c")).select("c.row.*", f"c.{ACTION}", f"c.{IS_UPDATE}")
 
 
-def _all_set(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-
-
 def insert_absent(
     target: DataFrame,
     changes: DataFrame,
@@ -65,14 +62,14 @@ def insert_absent(
     keys are small they are broadcast and ``target`` is not shuffled.
     """
     keys = list(keys)
-    wanted = changes.where(_all_set(keys)).select(*keys).distinct()
+    wanted = changes.where(all_set(keys)).select(*keys).distinct()
     ranged = [f.name for f in wanted.schema if isinstance(f.dataType, StringType | IntegralType)]
     seen = wanted.agg(
         byte_size(wanted).alias("_bytes"),
         *[F.min(k).alias(f"_least_{k}") for k in ranged],
         *[F.max(k).alias(f"_most_{k}") for k in ranged],
     ).first()
-    held = target.where(_all_set(keys)).select(*keys)
+    held = target.where(all_set(keys)).select(*keys)
     for k in ranged:
         held = held.where(F.col(k).between(F.lit(seen[f"_least_{k}"]), F.lit(seen[f"_most_{k}"])))
     fits = seen["_bytes"] <= broadcast_limit
@@ -104,7 +101,7 @@ def merge(
     is_delete = F.col(ACTION) == DELETE
 
     firing = changes.where(
-        _all_set(keys) & ((is_insert & F.col(IS_UPDATE)) | (is_delete & ~F.col(IS_UPDATE)))
+        all_set(keys) & ((is_insert & F.col(IS_UPDATE)) | (is_delete & ~F.col(IS_UPDATE)))
     )
     per_key = (
         firing.groupBy(*keys)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import add, or_
+from operator import add, and_
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +19,11 @@ _HEAVY = 128
 _COUNTERS = 8192
 
 
+def all_set(keys: Sequence[str]) -> Column:
+    """Whether no key column is NULL."""
+    return reduce(and_, [F.col(k).isNotNull() for k in keys])
+
+
 def byte_size(df: DataFrame) -> Column:
     """Aggregate: bytes that the rows of ``df`` need, by row count and text lengths."""
     texts = [f.name for f in df.schema if isinstance(f.dataType, StringType | BinaryType)]
@@ -77,9 +82,8 @@ def lookup(
         if left.schema[k].dataType != right.schema[k].dataType:
             # Equal values of two types would have two digests.
             raise ValueError(f"both sides need one type for {k}")
-    no_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     if how == "inner":
-        left = left.where(no_null)
+        left = left.where(all_set(keys))
     if fits is None:
         fits = fits_broadcast(right, broadcast_limit)
     if fits:
@@ -87,13 +91,12 @@ def lookup(
 
     digest = F.xxhash64(*keys)
     sampled = left if heavy_from is None else heavy_from
-    heavy = _heavy_digests(sampled.where(no_null), digest)
+    heavy = _heavy_digests(sampled.where(all_set(keys)), digest)
     is_heavy = digest.isin(heavy) if heavy else F.lit(False)
-    has_null = reduce(or_, [F.col(k).isNull() for k in keys])
     content = [f.name for f in left.schema if not isinstance(f.dataType, VariantType | MapType)]
     scattered = F.xxhash64(F.spark_partition_id(), *content)
-    routed = left.withColumn("_route", F.when(has_null | is_heavy, scattered).otherwise(digest))
-    flagged = right.where(no_null).withColumn("_hit", F.lit(True))
+    routed = left.withColumn("_route", F.when(~all_set(keys) | is_heavy, scattered).otherwise(digest))
+    flagged = right.where(all_set(keys)).withColumn("_hit", F.lit(True))
     # The hint keeps an underestimate from broadcasting what was measured as too large.
     cold = flagged.where(~is_heavy).withColumn("_route", digest).hint("merge")
     # The route comes first: both sides then sort by a number, not by texts.
