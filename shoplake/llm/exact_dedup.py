@@ -8,8 +8,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shoplake.llm.common import attach, slices
 from shoplake.storage import materialize
@@ -193,6 +194,25 @@ def exact_dedup(docs: DataFrame, in_snapshot: Column) -> DataFrame:
     )
 
 
+def kept_documents(docs: DataFrame, in_snapshot: Column) -> DataFrame:
+    """The rows of ``docs``, unchanged, that `exact_dedup` keeps: one of each class of equal texts."""
+    name = "_digest" + "_" * sum(c.startswith("_digest") for c in docs.columns)
+
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [hashlib.sha256(folded(t.as_py())).digest() for t in batch.column(at)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], [*batch.schema.names, name])
+
+    kept = exact_dedup(docs, in_snapshot).where("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_kept"))
+    marked = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.BinaryType())]))
+    met = marked.join(kept, (F.col(name) == F.col("_kept")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
+    # Repeated rows of the id that stays: one is enough.
+    order = Window.partitionBy(name).orderBy(F.lit(0))
+    return met.withColumn("_n", F.row_number().over(order)).where("_n = 1").select(*docs.columns)
+
+
 def _compare_bytes(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> None:
     """Raise unless all texts of a digest with several rows are the same bytes."""
     several = attach(rows.drop("known"), classes.where("n > 1").select("digest", "n"), "digest", "n", "inner")

@@ -24,12 +24,18 @@ FREQUENT = 1_000_000
 #: Share of the base measure that the end of a text has.
 END_SHARE = 1e-3
 
-#: Probability that a word ends after a piece, in the base measure.
+#: Probability that a word ends after a piece, before anything is learned.
 WORD_END = 0.25
 
 #: Share of the pieces' probability that single bytes have together.
 BYTE_SHARE = 1e-3
 
+#: What is learned about pieces counts against so many uses by the file's scores.
+PRIOR_USES = 1000.0
+
+#: Words that one lattice joins.
+LATTICE_BYTES = 1 << 19
+
 #: Text that one count of words takes in.
 COUNT_BYTES = 24 << 20
 
@@ -37,21 +43,54 @@ COUNT_BYTES = 24 << 20
 class Speller:
     """Log-probability of a word under the pieces: all its segmentations, summed.
 
-    The vocabulary file's scores are ranks (0, -1, -2, ...); a piece weighs
-    1 / (10 + rank), scaled so that pieces, single bytes and the word's end sum to 1.
+    ``pieces`` are log-weights by piece, ``byte`` that of a single byte, ``end`` that
+    of a word's end; together they sum to 1.
     """
 
-    def __init__(self, vocabulary: Vocabulary) -> None:
-        self.encoder = Encoder(vocabulary)
-        weights = 1.0 / (10.0 - np.minimum(self.encoder.scores, 0.0))
-        self.pieces = np.log(weights / weights.sum() * (1 - WORD_END) * (1 - BYTE_SHARE))
-        self.byte = float(np.log((1 - WORD_END) * BYTE_SHARE / 256))
+    def __init__(self, encoder: Encoder, pieces: np.ndarray, byte: float, end: float) -> None:
+        self.encoder, self.pieces, self.byte, self.end = encoder, pieces, byte, end
+
+    @classmethod
+    def given(cls, encoder: Encoder) -> Speller:
+        """By the vocabulary file alone: its scores are ranks (0, -1, -2, ...), and a piece weighs 1 / (10 + rank)."""
+        weights = _file_weights(encoder) * (1 - WORD_END) * (1 - BYTE_SHARE)
+        return cls(encoder, np.log(weights), float(np.log((1 - WORD_END) * BYTE_SHARE / 256)), float(np.log(WORD_END)))
+
+    @classmethod
+    def learned(cls, encoder: Encoder, expected: np.ndarray, words: float) -> Speller:
+        """By expected uses of each piece (then of bytes) in so many words, with the file's weights as prior."""
+        uses = expected[:-1] + PRIOR_USES * (1 - BYTE_SHARE) * _file_weights(encoder)
+        single = expected[-1] + PRIOR_USES * BYTE_SHARE
+        ends = words + PRIOR_USES * WORD_END
+        total = uses.sum() + single + ends
+        return cls(encoder, np.log(uses / total), float(np.log(single / total / 256)), float(np.log(ends / total)))
+
+    def _weights(self, lattice: tuple) -> np.ndarray:
+        text, _, _, begin, _, piece = lattice
+        return np.where(piece >= 0, self.pieces[piece], self.byte * utf8_bytes(text[begin]))
+
+    def log_probability(self, lattice: tuple) -> np.ndarray:
+        """Natural logarithms, one for each word of the lattice."""
+        text, starts, ends, begin, length, _ = lattice
+        return forward(len(text), starts, begin, length, self._weights(lattice))[ends] + self.end
+
+    def uses(self, lattice: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each edge: the number of its word, its piece (-1: bytes), its expected uses."""
+        text, starts, ends, begin, length, piece = lattice
+        weight = self._weights(lattice)
+        before = forward(len(text), starts, begin, length, weight)
+        after = backward(len(text), starts, ends, begin, length, weight)
+        word = np.searchsorted(starts, begin, side="right") - 1
+        return word, piece, np.exp(before[begin] + weight + after[begin + length] - before[ends][word])
+
+
+def _file_weights(encoder: Encoder) -> np.ndarray:
+    weights = 1.0 / (10.0 - np.minimum(encoder.scores, 0.0))
+    return weights / weights.sum()
 
-    def log_probability(self, words: list[str]) -> np.ndarray:
-        """Natural logarithms, one for each of the (non-empty) words."""
-        text, starts, ends, begin, length, piece = self.encoder.edges([SPACE + w for w in words])
-        weight = np.where(piece >= 0, self.pieces[piece], self.byte * utf8_bytes(text[begin]))
-        return forward(len(text), starts, begin, length, weight)[ends] + np.log(WORD_END)
+
+def _heads(values: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, dtype=np.int64)
 
 
 def forward(size: int, starts: np.ndarray, begin: np.ndarray, length: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -66,14 +105,18 @@ def forward(size: int, starts: np.ndarray, begin: np.ndarray, length: np.ndarray
     begin, weight, end, distance = begin[order], weight[order], end[order], distance[order]
     total = np.full(size + 1, -np.inf)
     total[starts] = 0.0
-    cuts = np.flatnonzero(np.concatenate([[True], distance[1:] != distance[:-1]])) if len(distance) else []
+    cuts = _heads(distance)
     for a, b in zip(cuts, [*cuts[1:], len(distance)]):
-        to = end[a:b]
-        heads = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]]))
-        total[to[heads]] = np.logaddexp.reduceat(total[begin[a:b]] + weight[a:b], heads)
+        heads = _heads(end[a:b])
+        total[end[a:b][heads]] = np.logaddexp.reduceat(total[begin[a:b]] + weight[a:b], heads)
     return total
 
 
+def backward(size: int, starts: np.ndarray, ends: np.ndarray, begin: np.ndarray, length: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Log of the summed weight of all paths from each position to its word's end: `forward`, read from behind."""
+    return forward(size, size - 1 - ends[::-1], size - 1 - begin - length, length, weight)[:size][::-1]
+
+
 def _count(docs: DataFrame, classes: int) -> DataFrame:
     """word, kind, n: training occurrences by slice of a task; words seen only elsewhere have 0."""
 
@@ -95,19 +138,44 @@ def _count(docs: DataFrame, classes: int) -> DataFrame:
     return docs.select("text", "kind", "learn").mapInArrow(run, "word string, kind int, n long")
 
 
-def _spelled(table: DataFrame, path: str) -> DataFrame:
-    """``table`` with ``spelling``, log10 of each word's probability in the base measure."""
+def _uses(table: DataFrame, each: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Expected uses of every piece (and of bytes, last) in each class's distinct words, and their number."""
     vocabulary = load(path)
-    kept = table.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        speller = Speller(vocabulary)
-        for batch in slices(batches, "word", 1 << 18):
-            found = speller.log_probability(batch.column("word").to_pylist()) + np.log1p(-END_SHARE)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found / np.log(10.0))], [*kept, "spelling"])
+        speller = Speller.given(Encoder(vocabulary))
+        size = len(speller.pieces) + 1
+        total = np.zeros((len(each), size + 1))
+        for batch in slices(batches, "word", LATTICE_BYTES):
+            word, piece, uses = speller.uses(speller.encoder.edges([SPACE + w for w in batch.column("word").to_pylist()]))
+            for z, c in enumerate(each):
+                has = batch.column(c).to_numpy() > 0
+                total[z, :size] += np.bincount(piece % size, weights=uses * has[word], minlength=size)
+                total[z, size] += has.sum()
+        kind, place = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(place), pa.array(total[kind, place])], ["kind", "place", "uses"])
+
+    found = table.select("word", *each).mapInArrow(run, "kind long, place long, uses double")
+    summed = found.groupBy("kind", "place").agg(F.sum("uses").alias("uses")).toArrow()
+    size = len(vocabulary.pieces) + 1
+    total = np.zeros((len(each), size + 1))
+    total[summed.column("kind").to_numpy(), summed.column("place").to_numpy()] = summed.column("uses").to_numpy()
+    return total[:, :size], total[:, size]
+
+
+def _spelled(table: DataFrame, expected: np.ndarray, words: np.ndarray, path: str) -> DataFrame:
+    """word and s0, s1, ...: log10 of its probability in each class's spelling."""
+    vocabulary, names = load(path), [f"s{z}" for z in range(len(words))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(vocabulary)
+        spellers = [Speller.learned(encoder, e, n) for e, n in zip(expected, words)]
+        for batch in slices(batches, "word", LATTICE_BYTES):
+            lattice = encoder.edges([SPACE + w for w in batch.column("word").to_pylist()])
+            found = [pa.array((s.log_probability(lattice) + np.log1p(-END_SHARE)) / np.log(10.0)) for s in spellers]
+            yield pa.RecordBatch.from_arrays([batch.column("word"), *found], ["word", *names])
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema.fields)
-    return table.mapInArrow(run, f"{schema}, spelling double")
+    return table.select("word").mapInArrow(run, "word string, " + ", ".join(f"{n} double" for n in names))
 
 
 def _places(docs: DataFrame, frequent: pa.Table, values: list[str]) -> DataFrame:
@@ -159,11 +227,13 @@ def lm_score(docs: DataFrame, held_out: Column, path: str = PIECES) -> DataFrame
     The model is a mixture over languages (``lang``: the seven most frequent of the
     training texts, and the rest with null), which a text need not name: its
     probability is the sum over languages of share times product over tokens. A
-    word's probability in a language backs off to its probability in all training
-    texts and that to its spelling: the paths of its subword lattice, weighted by the
-    vocabulary file's scores and summed by a forward recursion in log space. Each
-    step's weight is the number of words met once. Every word has a probability
-    above 0, and those of all words and the end sum to at most 1.
+    word's probability in a language is its discounted count; what the discount
+    leaves goes to its discounted count in all training texts, and what that leaves
+    to the spelling of new words: all paths of a word's subword lattice, summed by a
+    forward recursion in log space. The vocabulary file's scores weigh the paths of
+    the training texts' distinct words, whose expected pieces (one forward-backward
+    pass) then weigh the language's lattice, with the file's scores as prior. The
+    probabilities of all words and the end sum to at most 1.
 
     Null and empty texts are one end. Repeated rows are scored (and learned) each; an
     empty table gives an empty result; a null doc_id trains. Without training texts
@@ -184,44 +254,53 @@ def lm_score(docs: DataFrame, held_out: Column, path: str = PIECES) -> DataFrame
     counted = _count(rows, classes).groupBy("word").agg(
         *[F.sum(F.when(F.col("kind") == z, F.col("n")).otherwise(0)).alias(f"c{z}") for z in range(classes)]
     )
-    table = materialize(_spelled(counted, path), "words")
+    table = materialize(counted, "words")
     each = [f"c{z}" for z in range(classes)]
     all_ = sum((F.col(c) for c in each[1:]), F.col("c0"))
     stats = table.agg(
         F.count(F.when(all_ > 0, 1)).alias("v"),
         F.count(F.when(all_ == 1, 1)).alias("once"),
+        F.count(F.when(all_ == 2, 1)).alias("twice"),
         *[F.sum(c).alias(c) for c in each],
-        *[F.count(F.when(F.col(c) == 1, 1)).alias(f"once{z}") for z, c in enumerate(each)],
+        *[F.count(F.when(F.col(c) > 0, 1)).alias(f"v{z}") for z, c in enumerate(each)],
     ).first()
     texts = {r["kind"]: r["n"] for r in rows.where("learn").groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
     ends = [texts.get(z, 0) for z in range(classes)]
     in_class = [(stats[c] or 0) + e for c, e in zip(each, ends)]
     tokens, kinds = sum(in_class), stats["v"] + (1 if sum(ends) else 0)
-    back, backs = max(1, stats["once"]), [max(1, stats[f"once{z}"]) for z in range(classes)]
+    # What seen words leave to others: an absolute discount, by class and in general.
+    discount = (stats["once"] + 1) / (stats["once"] + 2 * stats["twice"] + 2)
+    left = discount * kinds / tokens if tokens else 1.0
+    lefts = [discount * (stats[f"v{z}"] + (1 if e else 0)) / n if n else 1.0 for z, (n, e) in enumerate(zip(in_class, ends))]
 
-    def probabilities(count, counts, spelling):
-        general = (count + spelling * float(back)) / float(tokens + back)
-        return [(c + general * float(b)) / float(n + b) for c, n, b in zip(counts, in_class, backs)]
-
-    # A new word may be too improbable for anything but its logarithm.
-    unseen = [float(np.log10(p)) for p in probabilities(0.0, [0.0] * classes, 1.0)]
+    def seen(most, count, counts):
+        general = most(count - discount, 0.0) / float(max(tokens, 1))
+        return [most(c - discount, 0.0) / float(max(n, 1)) + general * g for c, n, g in zip(counts, in_class, lefts)]
 
     def base(count):
         return (count + 1) / float(tokens + kinds + 1)
 
-    of_word = probabilities(all_, [F.col(c) for c in each], F.pow(F.lit(10.0), F.col("spelling")))
+    def column_most(a, b):
+        return F.greatest(a, F.lit(b))
+
     values = ["base", "known", *[f"p{z}" for z in range(classes)]]
-    scored = table.select(
+    old = table.where(all_ > 0).select(
         "word",
         all_.alias("c"),
         F.log10(base(all_)).alias("base"),
-        (all_ > 0).cast("double").alias("known"),
-        *[
-            F.when(all_ > 0, F.log10(p)).otherwise(F.col("spelling") + unseen[z]).alias(f"p{z}")
-            for z, p in enumerate(of_word)
-        ],
+        F.lit(1.0).alias("known"),
+        *[F.log10(p).alias(f"p{z}") for z, p in enumerate(seen(column_most, all_, [F.col(c) for c in each]))],
+    )
+    expected, words = _uses(table.where(all_ > 0), each, path)
+    new = _spelled(table.where(all_ == 0), expected, words, path).select(
+        "word",
+        F.lit(0).cast("long").alias("c"),
+        F.lit(float(np.log10(base(0)))).alias("base"),
+        F.lit(0.0).alias("known"),
+        *[(F.col(f"s{z}") + float(np.log10(g * left))).alias(f"p{z}") for z, g in enumerate(lefts)],
     )
-    frequent = scored.where(F.col("c") * FREQUENT >= tokens).where("c > 0").toArrow()
+    scored = old.unionByName(new)
+    frequent = old.where(F.col("c") * FREQUENT >= tokens).toArrow()
     places = _places(rows, frequent, values)
     rare = scored.select(F.col("word").alias("_word"), *values)
     met = places.join(rare, F.col("word") == F.col("_word"), "left")
@@ -232,7 +311,7 @@ def lm_score(docs: DataFrame, held_out: Column, path: str = PIECES) -> DataFrame
         F.max("rest.learn").alias("learn"),
         F.max(F.col("rest.sums")[len(values)]).alias("words"),
     )
-    end_p = probabilities(float(sum(ends)), [float(e) for e in ends], END_SHARE)
+    end_p = seen(max, sum(ends), ends) if sum(ends) else [END_SHARE * left * g for g in lefts]
     share = [(t + 1) / (sum(ends) + classes) for t in ends]
     in_log = [F.col(f"p{z}") + float(np.log10(end_p[z] * share[z])) for z in range(classes)]
     top = F.greatest(*in_log) if classes > 1 else in_log[0]

@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplake.llm.exact_dedup import exact_dedup
+from shoplake.llm.jaccard_join import jaccard_join
 from shoplake.llm.lm_scoring import lm_score
 from shoplake.llm.mixing import taken
+from shoplake.llm.nearest_neighbours import nearest
+from shoplake.llm.quality_classifier import keeps, score
 from shoplake.llm.sharding import shard
 from shoplake.llm.subword_encoding import decode, encode
 from shoplake.llm.substring_dedup import substring_dedup
@@ -26,6 +29,11 @@ def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(_documents(spark, sf))
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet")
+    return nearest(rows, F.col("vec_id") % 100 == 0)
+
+
 def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return taken(_documents(spark, sf))
 
@@ -50,6 +58,15 @@ def op6_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op7_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join(_documents(spark, sf), words=4, percent=85)
+
+
+def op8_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    return score(_documents(spark, sf), labels, ["quality", "toxic"]).withColumn("keep", keeps())
+
+
 def op9_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return shard(_documents(spark, sf), 40).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
@@ -64,10 +81,13 @@ def op10_subword_encoding(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
+    "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_jaccard_join": op7_jaccard_join,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_sharding": op9_sharding,
     "op10_subword_encoding": op10_subword_encoding,
 }
