@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplake.llm.common import slices
-from shoplake.llm.vocabulary import PIECES, SPACE, Vocabulary, load, pre_tokens
+from shoplake.llm.vocabulary import PIECES, SPACE, Vocabulary, coded_pre_tokens, load
 
-#: Encoded pre-tokens that a task remembers before it starts anew.
-MAX_KNOWN = 300_000
+#: Encoded pre-tokens that a Python worker remembers before it starts anew.
+MAX_KNOWN = 600_000
 
 #: Characters of new pre-tokens that one suffix array holds, unless one is longer.
 BATCH_CHARS = 1 << 20
@@ -26,13 +26,19 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary) -> None:
         names = list(vocabulary.pieces)
         self.vocabulary = vocabulary
-        self.ids = np.array([vocabulary.pieces[p][0] for p in names], dtype=np.int64)
+        self.ids_by_piece = np.array([vocabulary.pieces[p][0] for p in names], dtype=np.int64)
         self.scores = np.array([vocabulary.pieces[p][1] for p in names])
         self.lengths = np.array([len(p) for p in names], dtype=np.int64)
         self.letters = np.zeros((len(names), vocabulary.longest), dtype=np.int64)
         for i, p in enumerate(names):
             self.letters[i, : len(p)] = [ord(c) for c in p]
-        self.known: dict[str, list[int]] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop all encoded pre-tokens."""
+        self.known: dict[str, int] = {}
+        self.ids_of = np.zeros(0, dtype=np.int32)  # of all known pre-tokens, joined
+        self.first = np.zeros(1, dtype=np.int64)  # of each known pre-token, then the end
 
     def learn(self, words: set[str]) -> None:
         """Encode the pre-tokens that are not known yet."""
@@ -46,6 +52,14 @@ class Encoder:
         if start < len(new):
             self._encode(new[start:])
 
+    def ids(self, words: list[str], codes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of known pre-tokens (or of those that ``codes`` name), joined, and how many each has."""
+        at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
+        at = at if codes is None else at[codes]
+        first, length = self.first[at], self.first[at + 1] - self.first[at]
+        ends = np.cumsum(length)
+        return self.ids_of[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + length, length)], length
+
     def edges(self, words: list[str]) -> tuple[np.ndarray, ...]:
         """Text, starts and ends of the joined ``words``; begin and length of each edge, and its piece or -1."""
         # Every pre-token is followed by 0, which no piece has.
@@ -67,22 +81,38 @@ class Encoder:
         return text, starts, ends, begin, length, np.concatenate([piece, np.full(len(lone), -1)])
 
     def _encode(self, words: list[str]) -> None:
+        words = sorted(words, key=len, reverse=True)
         text, starts, ends, begin, length, piece = self.edges(words)
-        gain = np.where(piece >= 0, self.scores[piece], self.vocabulary.unknown)
-        parts = np.where(piece >= 0, 1, utf8_bytes(text[begin]))
-        name = np.where(piece >= 0, self.ids[piece], -1)
-        score, back = relax(text, starts, begin, length, gain, parts)
-        back_length, back_name = np.where(back >= 0, length[back], 0).tolist(), np.where(back >= 0, name[back], 0).tolist()
-        for word, start, end in zip(words, starts.tolist(), ends.tolist()):
-            ids: list[int] = []
-            while end > start:
-                step = back_length[end]
-                if (i := back_name[end]) >= 0:
-                    ids.append(i)
-                else:
-                    ids.extend(self.vocabulary.bytes[b] for b in reversed(word[end - start - 1].encode(errors="surrogatepass")))
-                end -= step
-            self.known[word] = ids[::-1]
+        # Characters without a piece stand behind the pieces, by their UTF-8 bytes.
+        pieces = len(self.scores)
+        name = np.where(piece >= 0, piece, pieces - 1 + utf8_bytes(text[begin]))
+        gain = np.concatenate([self.scores, np.full(4, self.vocabulary.unknown)])
+        parts = np.concatenate([np.ones(pieces, dtype=np.int64), [1, 2, 3, 4]])
+        tokens, back, step = relax(len(text), starts, ends, begin, length, name, gain, parts)
+        # Walk all best paths back at once, filling the ids from behind.
+        last = np.cumsum(tokens[ends])
+        out = np.zeros(last[-1], dtype=np.int32)
+        place, at, open_ = last.copy(), ends.copy(), np.arange(len(words))
+        while len(open_):
+            here = at[open_]
+            found = back[here]
+            place[open_] -= parts[found]
+            whole = found < pieces
+            out[place[open_][whole]] = self.ids_by_piece[found[whole]]
+            for i, e in zip(open_[~whole].tolist(), here[~whole].tolist()):
+                spelled = chr(text[e - 1] % 0x110000).encode(errors="surrogatepass")
+                out[place[i] : place[i] + len(spelled)] = [self.vocabulary.bytes[b] for b in spelled]
+            at[open_] = here - step[here]
+            open_ = open_[at[open_] > starts[open_]]
+        self.known.update(zip(words, range(len(self.first) - 1, len(self.first) - 1 + len(words))))
+        self.first = np.concatenate([self.first, self.first[-1] + last])
+        self.ids_of = np.concatenate([self.ids_of, out])
+
+
+@cache
+def _encoder(vocabulary: Vocabulary) -> Encoder:
+    """The worker's encoder: tasks that follow each other share what it knows."""
+    return Encoder(vocabulary)
 
 
 def utf8_bytes(codes: np.ndarray) -> np.ndarray:
@@ -92,18 +122,27 @@ def utf8_bytes(codes: np.ndarray) -> np.ndarray:
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     """Starts of all suffixes, sorted by their first ``depth`` characters (and more, up to a power of two)."""
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
+    letters, rank = np.unique(text, return_inverse=True)
     n, width = len(text), 1
+    rank = rank.astype(np.int64)
+    while width < 4 and (len(letters) + 1) ** (2 * width) < 1 << 62:  # as many letters as fit in one key
+        rank = rank * (len(letters) + 1) ** width + _later(rank, width)
+        width *= 2
     order = np.argsort(rank)
-    while width < depth:
-        later = np.zeros(n, dtype=np.int64)
-        later[:-width] = rank[width:] + 1
-        key = rank * (n + 1) + later
-        order = np.argsort(key)
-        ordered = key[order]
+    while True:
+        ordered = rank[order]
         rank[order] = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
+        if width >= depth:
+            return order
+        rank = rank * (n + 1) + _later(rank, width)
+        order = np.argsort(rank)
         width *= 2
-    return order
+
+
+def _later(rank: np.ndarray, width: int) -> np.ndarray:
+    later = np.zeros(len(rank), dtype=np.int64)
+    later[:-width] = rank[width:] + 1
+    return later
 
 
 def ranges(text: np.ndarray, suffixes: np.ndarray, letters: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,37 +172,38 @@ def ranges(text: np.ndarray, suffixes: np.ndarray, letters: np.ndarray, lengths:
     return low, high
 
 
-def relax(text, starts, begin, length, gain, parts) -> tuple[np.ndarray, np.ndarray]:
-    """Best score at every position, and the edge that reaches it (-1 for none).
+def relax(size, starts, ends, begin, length, name, gain, parts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of the best way to every position, and the name and length of its last edge.
 
-    Edges are sorted by their end's distance from their pre-token's start, then by
-    end; all pre-tokens advance together. Of equal scores the path with fewer tokens
-    wins, then the longer last edge.
+    An edge's score is ``gain`` of its name, its tokens are ``parts`` of it. Edges are
+    sorted by position into a table with a row for each end and a column for each
+    length; all pre-tokens (the longest first) then advance together. Of equal
+    scores the way with fewer tokens wins, then the longer last edge.
     """
-    owner = np.repeat(starts, np.diff(np.append(starts, len(text))))
-    end = begin + length
-    distance = end - owner[begin]
-    # One sort: by distance, then end, then the longest first.
-    order = np.argsort((distance * (len(text) + 1) + end) * (length.max(initial=0) + 1) - length)
-    begin, length, gain, parts, end, distance = (x[order] for x in (begin, length, gain, parts, end, distance))
-    score = np.full(len(text) + 1, -np.inf)
-    tokens = np.zeros(len(text) + 1, dtype=np.int64)
-    back = np.full(len(text) + 1, -1, dtype=np.int64)
+    longest, none = int(length.max(initial=1)), len(gain)
+    table = np.full((size, longest), none, dtype=np.int32)
+    table[begin + length, longest - length] = name
+    gain, parts = np.append(gain, -np.inf), np.append(parts, 0)
+    score, tokens = np.full(size, -np.inf), np.zeros(size, dtype=np.int64)
+    back, step = np.full(size, none, dtype=np.int32), np.zeros(size, dtype=np.int64)
     score[starts] = 0.0
-    cuts = np.flatnonzero(np.concatenate([[True], distance[1:] != distance[:-1]])) if len(distance) else []
-    for a, b in zip(cuts, [*cuts[1:], len(distance)]):
-        reached, count = score[begin[a:b]] + gain[a:b], tokens[begin[a:b]] + parts[a:b]
-        to = end[a:b]
-        first = np.concatenate([[True], to[1:] != to[:-1]])
-        heads, run = np.flatnonzero(first), np.cumsum(first) - 1
-        best = reached == np.maximum.reduceat(reached, heads)[run]
-        count = np.where(best, count, np.iinfo(np.int64).max)
-        best &= count == np.minimum.reduceat(count, heads)[run]
-        top = np.flatnonzero(best)
-        top = top[np.concatenate([[True], run[top][1:] != run[top][:-1]])]
-        at = to[top]
-        score[at], tokens[at], back[at] = reached[top], count[top], order[a:b][top]
-    return score, back
+    widths = ends - starts
+    active = len(starts) - np.searchsorted(widths[::-1], np.arange(1, widths[0] + 1))
+    for distance, count in enumerate(active.tolist(), 1):
+        steps = np.arange(min(longest, distance), 0, -1)
+        at = starts[:count] + distance
+        edge = table[at, longest - len(steps) :]
+        source = at[:, None] - steps
+        reached = score[source] + gain[edge]
+        pick, rows = reached.argmax(axis=1), np.arange(count)
+        top = reached[rows, pick]
+        if len(tied := np.flatnonzero((reached == top[:, None]).sum(axis=1) > 1)):
+            came = np.where(reached[tied] == top[tied][:, None], tokens[source[tied]] + parts[edge[tied]], np.iinfo(np.int64).max)
+            pick[tied] = came.argmin(axis=1)  # the first of equals is the longest
+        chosen = edge[rows, pick]
+        score[at], back[at], step[at] = top, chosen, steps[pick]
+        tokens[at] = tokens[at - steps[pick]] + parts[chosen]
+    return tokens, back, step
 
 
 def encode(docs: DataFrame, path: str = PIECES) -> DataFrame:
@@ -178,18 +218,15 @@ def encode(docs: DataFrame, path: str = PIECES) -> DataFrame:
     vocabulary = load(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder = _encoder(vocabulary)
         for batch in slices(batches, "text"):
-            words = [pre_tokens(t) for t in batch.column("text").to_pylist()]
+            offsets, codes, words = coded_pre_tokens(batch.column("text"))
             if len(encoder.known) > MAX_KNOWN:
-                encoder.known.clear()
-            encoder.learn(set(chain.from_iterable(words)))
-            known, offsets, out = encoder.known, [0], []
-            for parts in words:
-                ids = np.fromiter(chain.from_iterable(map(known.__getitem__, parts)), dtype=np.int32)
-                out.append(ids)
-                offsets.append(offsets[-1] + len(ids))
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(out) if out else [], pa.int32()))
+                encoder.forget()
+            encoder.learn(set(words))
+            ids, length = encoder.ids(words, codes)
+            borders = np.concatenate([[0], np.cumsum(length)])[offsets]
+            lists = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(ids))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["doc_id", "ids"])
 
     ids = F.col("doc_id").cast("long").alias("doc_id")

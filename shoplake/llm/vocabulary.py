@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+
 SPACE = "▁"
 
 #: A path of the vocabulary file is a parameter everywhere; this one is the box's.
@@ -20,6 +23,14 @@ class Vocabulary:
     longest: int = field(default=0)
     #: Score of a character that no piece spells; it becomes its UTF-8 bytes.
     unknown: float = field(default=0.0)
+    #: The file, by which vocabularies are told apart.
+    path: str = ""
+
+    def __hash__(self) -> int:
+        return hash(self.path)
+
+    def __eq__(self, other: object) -> bool:
+        return isinstance(other, Vocabulary) and (self.path, len(self.pieces)) == (other.path, len(other.pieces))
 
 
 def load(path: str = PIECES) -> Vocabulary:
@@ -36,7 +47,7 @@ def load(path: str = PIECES) -> Vocabulary:
     if any(re.search(rf"\n|[^{SPACE}]{SPACE}", p) for p in pieces):
         raise ValueError("a piece spans the border of two pre-tokens")
     usual = [s for _, s in pieces.values() if s > -1e8]
-    return Vocabulary(pieces, byte_ids, max(map(len, pieces)), min(usual) - 10)
+    return Vocabulary(pieces, byte_ids, max(map(len, pieces)), min(usual) - 10, path)
 
 
 #: Runs of spaces with what follows, line ends, and the rest: no piece crosses them.
@@ -51,3 +62,14 @@ def escaped(text: str | None) -> str:
 def pre_tokens(text: str | None) -> list[str]:
     """Parts of the escaped text that can be segmented apart from each other."""
     return _PRE_TOKEN.findall(escaped(text))
+
+
+def coded_pre_tokens(text: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Offsets of each text's pre-tokens, their codes, and the distinct pre-tokens by code."""
+    parts: list[str] = []
+    offsets = [0]
+    for t in text.to_pylist():
+        parts.extend(pre_tokens(t))
+        offsets.append(len(parts))
+    coded = pa.array(parts, pa.string()).dictionary_encode()
+    return np.array(offsets), coded.indices.to_numpy(), coded.dictionary.to_pylist()
