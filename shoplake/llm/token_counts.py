@@ -4,69 +4,71 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplake.llm.common import slices
-from shoplake.llm.vocabulary import PIECES, Vocabulary, load, pre_tokens
+from shoplake.llm.vocabulary import PIECES, Vocabulary, coded_pre_tokens, load
 
-#: A task's trie starts anew beyond so many nodes (some 100 MB); counts don't depend on it.
-MAX_NODES = 400_000
+#: Terminal counts that a task remembers between batches; results don't depend on it.
+MAX_KNOWN = 500_000
 
 
 class Trie:
-    """Distinct pre-tokens, with the forward score of every prefix.
+    """Token counts of distinct pre-tokens, which are inserted in sorted order.
 
-    A node is a prefix: ``score`` and ``tokens`` belong to its best segmentation
+    A node is a prefix: its score and tokens belong to its best segmentation
     (greatest sum of piece scores, then fewest tokens), found from those of shorter
-    prefixes when the node is made. A terminal's ``tokens`` is its pre-token's count.
+    prefixes when the node is made. In sorted order a node is done with once the
+    next pre-token leaves it, so only the open branch is held; every prefix that a
+    batch's pre-tokens share is still computed once. Terminals keep their count.
     """
 
-    def __init__(self, vocabulary: Vocabulary, max_nodes: int = MAX_NODES) -> None:
-        self.unknown, self.max_nodes = vocabulary.unknown, max_nodes
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.unknown = vocabulary.unknown
         #: Score of every piece; None for what only ends a piece.
         self.scores: dict[str, float | None] = {p[i:]: None for p in vocabulary.pieces for i in range(1, len(p))}
         self.scores |= {p: s for p, (_, s) in vocabulary.pieces.items()}
-        self._clear()
-
-    def _clear(self) -> None:
-        self.child: dict[tuple[int, str], int] = {}
-        self.score, self.tokens = [0.0], [0]
         self.terminal: dict[str, int] = {}
 
-    def count(self, word: str) -> int:
-        """Tokens of a pre-token, which is inserted if it is new."""
-        found = self.terminal.get(word)
-        return self._insert(word) if found is None else found
-
-    def _insert(self, word: str) -> int:
-        if len(self.score) > self.max_nodes:
-            self._clear()
-        child, score, tokens, scores = self.child, self.score, self.tokens, self.scores
-        path = [0]
-        for end, letter in enumerate(word, 1):
-            node = child.get((path[-1], letter))
-            if node is None:
-                node = child[path[-1], letter] = len(score)
-                before = path[end - 1]
-                if (s := scores.get(letter)) is not None:
-                    best = score[before] + s, -tokens[before] - 1
+    def counts(self, words: list[str]) -> np.ndarray:
+        """Tokens of each of the distinct pre-tokens."""
+        if len(self.terminal) > MAX_KNOWN:
+            self.terminal.clear()
+        terminal = self.terminal
+        self._insert(sorted(w for w in words if w not in terminal))
+        return np.fromiter(map(terminal.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def _insert(self, words: list[str]) -> None:
+        scores, unknown, terminal = self.scores, self.unknown, self.terminal
+        score, tokens = [0.0], [0]  # of the open branch, by depth
+        last = ""
+        for word in words:
+            depth, most = 0, min(len(last), len(word))
+            while depth < most and last[depth] == word[depth]:
+                depth += 1
+            del score[depth + 1 :], tokens[depth + 1 :]
+            for end in range(depth + 1, len(word) + 1):
+                letter = word[end - 1]
+                s = scores.get(letter)
+                if s is not None:
+                    best, least = score[-1] + s, tokens[-1] + 1
                 else:
-                    best = score[before] + self.unknown, -tokens[before] - len(letter.encode(errors="surrogatepass"))
+                    best, least = score[-1] + unknown, tokens[-1] + len(letter.encode(errors="surrogatepass"))
                 for start in range(end - 2, -1, -1):
                     s = scores.get(word[start:end], False)
                     if s is False:  # ends no piece, so no longer part does
                         break
                     if s is not None:
-                        before = path[start]
-                        if (way := (score[before] + s, -tokens[before] - 1)) > best:
-                            best = way
-                score.append(best[0])
-                tokens.append(-best[1])
-            path.append(node)
-        self.terminal[word] = tokens[path[-1]]
-        return tokens[path[-1]]
+                        way = score[start] + s
+                        if way > best or way == best and tokens[start] + 1 < least:
+                            best, least = way, tokens[start] + 1
+                score.append(best)
+                tokens.append(least)
+            terminal[word] = tokens[-1]
+            last = word
 
 
 def token_counts(docs: DataFrame, path: str = PIECES) -> DataFrame:
@@ -75,26 +77,16 @@ def token_counts(docs: DataFrame, path: str = PIECES) -> DataFrame:
     The vocabulary file's own scores rank the segmentations; a character outside the
     vocabulary counts its UTF-8 bytes. Null and empty texts have 0 tokens. Repeated
     rows are counted each; other columns are not read. Nothing is shuffled: a task
-    streams its rows, and its trie is bounded whatever the texts.
+    streams its rows, and holds one slice of text and a bounded table of counts.
     """
     vocabulary = load(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(vocabulary)
         for batch in slices(batches, "text"):
-            parts, tokens = [], []
-            for text in batch.column("text").to_pylist():
-                words = pre_tokens(text)
-                known = trie.terminal
-                for word in set(words):
-                    if word not in known:
-                        trie.count(word)
-                        known = trie.terminal
-                parts.append(len(words))
-                try:
-                    tokens.append(sum(map(known.__getitem__, words)))
-                except KeyError:  # the trie was begun anew within this text
-                    tokens.append(sum(map(trie.count, words)))
+            offsets, codes, words = coded_pre_tokens(batch.column("text"))
+            upto = np.concatenate([[0], np.cumsum(trie.counts(words)[codes])])
+            parts, tokens = np.diff(offsets), upto[offsets[1:]] - upto[offsets[:-1]]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(parts, pa.int64()), pa.array(tokens, pa.int64())],
                 ["doc_id", "n_pretokens", "n_tokens"],
