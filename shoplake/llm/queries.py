@@ -74,9 +74,10 @@ def op9_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op10_subword_encoding(spark: SparkSession, sf: str) -> DataFrame:
-    """Length and digest of each text's ids, and of the text that they decode to."""
-    ids = encode(_documents(spark, sf)).withColumn("_row", F.monotonically_increasing_id())
-    return ids.select("doc_id", F.size("ids").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"))
+    """Length and digest of each text's ids, and digest of the text that they decode to."""
+    return decode(encode(_documents(spark, sf))).select(
+        "doc_id", F.size("ids").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"), F.xxhash64("text").alias("text_hash")
+    )
 
 
 QUERIES: dict[str, Query] = {

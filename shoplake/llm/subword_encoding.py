@@ -7,6 +7,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -234,20 +235,40 @@ def encode(docs: DataFrame, path: str = PIECES) -> DataFrame:
 
 
 def decode(encoded: DataFrame, path: str = PIECES) -> DataFrame:
-    """Texts of encoded rows: doc_id, text. A null text comes back as an empty one.
+    """Texts of encoded rows: doc_id, ids, text.
 
-    Bytes that are not UTF-8 become U+FFFD, ids outside the vocabulary are an error.
+    The one space that encoding put before a text is taken off; texts come back
+    unchanged, but for U+2581, which stands for a space. No ids, or null,
+    give an empty text, so a null text comes back as an empty one. Byte ids that
+    don't form UTF-8 become U+FFFD; an id without a spelling is an error.
     """
     vocabulary = load(path)
-    spelled: dict[int, bytes] = {i: p.replace(SPACE, " ").encode() for p, (i, _) in vocabulary.pieces.items()}
-    spelled |= {i: bytes([b]) for b, i in enumerate(vocabulary.bytes)}
+    spelled: list[bytes | None] = [None] * (1 + max(*vocabulary.bytes, *(i for i, _ in vocabulary.pieces.values())))
+    for piece, (i, _) in vocabulary.pieces.items():
+        spelled[i] = piece.replace(SPACE, " ").encode()
+    for byte, i in enumerate(vocabulary.bytes):
+        spelled[i] = bytes([byte])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = pa.array(spelled, pa.large_binary())
         for batch in batches:
-            texts = [
-                b"".join(map(spelled.__getitem__, ids or ())).decode(errors="replace")[1:]
-                for ids in batch.column("ids").to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
-
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+            ids = batch.column("ids")
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, joined(names, ids)], ["doc_id", "ids", "text"])
+
+    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
+
+
+def joined(names: pa.Array, ids: pa.ListArray) -> pa.Array:
+    """The spellings of each list's ids as one text."""
+    found = names.take(ids.flatten())
+    if found.null_count:
+        raise ValueError("an id has no spelling")
+    counts = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))])
+    borders = np.frombuffer(found.buffers()[1], dtype=np.int64)[found.offset : found.offset + len(found) + 1]
+    data, borders = found.buffers()[2] or pa.py_buffer(b""), borders[counts]
+    raw = np.frombuffer(data, dtype=np.uint8)
+    begins = borders[:-1].copy()
+    full = begins < borders[1:]
+    begins[full] += raw[begins[full]] == 32
+    texts = [bytes(raw[a:b]) for a, b in zip(begins.tolist(), borders[1:].tolist())]
+    return pa.array([t.decode(errors="replace") for t in texts], pa.string())
