@@ -60,7 +60,7 @@ def attach(rows: DataFrame, classes: DataFrame, key: str, weight: str, how: str
     return met.unionByName(rest)
 
 
-def running(rows: DataFrame, group: list[str], order: list[str], value: Column, name: str, per_chunk: int = 20_000) -> DataFrame:
+def running(rows: DataFrame, group: list[str], order: list[str], value: Column, name: str, per_chunk: int = 4_000) -> DataFrame:
     """``rows`` with ``name``: the sum of ``value`` over the group's rows before this one.
 
     The order is by chunk (a hash of ``order``), then by ``order``, which must tell
