@@ -20,6 +20,10 @@ SLICE_BYTES = 8 << 20
 HOT_SHARE = 1000
 
 
+#: Bits of a screen, which is broadcast.
+SCREEN_BITS = 1 << 25
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of at most ``limit`` bytes of ``column`` (or one row)."""
     for batch in batches:
@@ -60,6 +64,25 @@ def attach(rows: DataFrame, classes: DataFrame, key: str, weight: str, how: str
     return met.unionByName(rest)
 
 
+def screened(rows: DataFrame, key: str, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose ``key`` (a long) may be in ``wanted`` (one column), and those whose key is surely not.
+
+    A bitmap of hashes of the wanted keys, 4 MB however many there are, is broadcast.
+    It only saves shuffling rows: an exact join must follow for the first part. A
+    null key is surely not wanted.
+    """
+    slot = "pmod(xxhash64({0}), {1}L)".format
+    of_wanted = slot(f"`{wanted.columns[0]}`", SCREEN_BITS)
+    maps = wanted.groupBy(F.expr(f"bitmap_bucket_number({of_wanted})").alias("_bucket")).agg(
+        F.expr(f"bitmap_construct_agg(bitmap_bit_position({of_wanted}))").alias("_bits")
+    )
+    at = slot(f"cast(`{key}` as bigint)", SCREEN_BITS)
+    met = rows.join(F.broadcast(maps), F.expr(f"bitmap_bucket_number({at})") == F.col("_bucket"), "left")
+    byte = f"cast(conv(hex(substring(_bits, cast(bitmap_bit_position({at}) div 8 + 1 as int), 1)), 16, 10) as int)"
+    hit = F.expr(f"`{key}` is not null and _bits is not null and (shiftright({byte}, cast(bitmap_bit_position({at}) % 8 as int)) & 1) = 1")
+    return met.where(hit).select(*rows.columns), met.where(~hit).select(*rows.columns)
+
+
 def running(rows: DataFrame, group: list[str], order: list[str], value: Column, name: str, per_chunk: int = 4_000) -> DataFrame:
     """``rows`` with ``name``: the sum of ``value`` over the group's rows before this one.
 
@@ -92,26 +115,25 @@ def labels(edges: DataFrame) -> DataFrame:
 
     Each round hangs every node and its label under the least label next to it and
     then follows labels once more, so the way to the least node shrinks by half or
-    more a round. Rounds are stored in the shared folder, which cuts lineage; a node
-    or label with very many followers is met by `attach`.
+    more a round. Rounds are stored in the shared folder, which cuts lineage. Sums
+    are partial before they are shuffled; a node with very many neighbours is left to
+    Spark's adaptive splitting of skewed joins.
     """
-    both = materialize(
-        edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "edges"
-    )
-    degree = materialize(both.groupBy("b").agg(F.count(F.lit(1)).alias("n")), "degrees")
+    both = edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct()
+    both = materialize(both, "edges")
     state = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b"))
     state = materialize(state.select("node", F.least("node", "b").alias("label")), "labels")
     while True:
-        known = state.withColumnRenamed("node", "b").join(degree, "b")
-        near = attach(both, known, "b", "n").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        known = state.withColumnRenamed("node", "b")
+        near = both.join(known, "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         met = state.join(near, "node").select("node", "label", F.least("label", "near").alias("least"))
         # A label's own node must hear of smaller labels that its followers have met.
         told = met.select("node", "least").union(met.select(F.col("label").alias("node"), "least"))
         hung = materialize(told.groupBy("node").agg(F.min("least").alias("to")), "labels")
-        followers = hung.groupBy("to").agg(F.count(F.lit(1)).alias("n"))
-        tops = followers.join(hung.select(F.col("node").alias("to"), F.col("to").alias("top")), "to")
-        new = materialize(attach(hung, tops, "to", "n").select("node", F.coalesce("top", "to").alias("label")), "labels")
-        moved = new.join(state.withColumnRenamed("label", "old"), "node").where("label <> old")
-        state = new
-        if not moved.limit(1).count():
+        tops = hung.select(F.col("node").alias("to"), F.col("to").alias("top"))
+        jumped = hung.join(tops, "to", "left").select("node", F.coalesce("top", "to").alias("label"))
+        new = materialize(jumped.join(state.withColumnRenamed("label", "old"), "node"), "labels")
+        moved = new.where("label <> old").limit(1).count()
+        state = new.drop("old")
+        if not moved:
             return state

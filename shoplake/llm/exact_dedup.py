@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplake.llm.common import attach, slices
+from shoplake.llm.common import attach, screened, slices
 from shoplake.storage import materialize
 
 #: Keys of one filter, on average; a filter takes about nine bits a key.
@@ -214,12 +214,17 @@ def kept_documents(docs: DataFrame, in_snapshot: Column) -> DataFrame:
 
 
 def _compare_bytes(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> None:
-    """Raise unless all texts of a digest with several rows are the same bytes."""
+    """Raise unless all texts of a digest with several rows are the same bytes.
+
+    Rows without an id can't be looked up again; their digests count as they are.
+    """
     several = attach(rows.drop("known"), classes.where("n > 1").select("digest", "n"), "digest", "n", "inner")
     wanted = several.select(F.col("doc_id").alias("id"), "digest").distinct()
     fold = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    met = texts.join(wanted, texts.doc_id.eqNullSafe(wanted.id)).select("digest", fold.alias("folded"))
+    wanted = materialize(wanted, "suspects")
+    maybe, _ = screened(texts, "doc_id", wanted.where("id is not null").select("id"))
+    met = maybe.join(wanted, F.col("doc_id") == F.col("id")).select("digest", fold.alias("folded"))
     # Rows of one id may hold several texts, so a digest counts only with its own.
     met = met.where(F.unhex(F.sha2("folded", 256)) == F.col("digest"))
     apart = met.groupBy("digest", "folded").agg(F.lit(1).alias("one")).groupBy("digest").agg(F.count("one").alias("texts"))
