@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplake.llm import exact_dedup, jaccard_join, mixing, quality_classifier, subword_encoding
+from shoplake.llm.common import screened
 from shoplake.storage import materialize
 
 
@@ -23,8 +24,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the smallest doc_id, of each group linked by 5-word shingles at 0.8."""
     classes = jaccard_join.jaccard_join(docs, words=5, percent=80)
-    gone = classes.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    gone = materialize(classes.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")), "near-copies")
+    maybe, kept = screened(docs, "doc_id", gone)
+    return kept.unionByName(maybe.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
