@@ -1,0 +1,422 @@
+"""The corpus operators against brute force, on the smallest tables and on odd rows."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+from functools import lru_cache
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shoplake.llm import common, exact_dedup, jaccard_join, lm_scoring, mixing, nearest_neighbours, quality_classifier, sharding
+from shoplake.llm import subword_encoding, substring_dedup, token_counts, vocabulary
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LONG = "la " * 40_000 + "x" * 3_000
+
+#: Nulls, empty and long texts, ties and repeated rows, and columns with names that operators use.
+ODD = [
+    (1, "a b c d e f g", "en", "s", 13, 0),
+    (1, "a b c d e f g", "en", "s", 13, 0),
+    (2, "A b c d e f G", "en", "s", 13, 0),
+    (3, None, None, None, None, None),
+    (4, "", "en", None, 0, 1),
+    (5, " \n\t ", None, "t", 4, 1),
+    (6, LONG, "fr", "t", len(LONG), 2),
+    (7, "one\ntwo\none\n", "fr", "t", 12, 2),
+    (8, "one", "de", "u", 3, 3),
+    (9, "日本語 \u0000 ñ😀\nA b c d e f G", "de", "u", 20, 3),
+]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, digest int"
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(ODD, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def docs(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+
+
+def words(text):
+    return WORD.findall((text or "").encode().lower().decode())
+
+
+# --- tokens ---------------------------------------------------------------------
+
+
+def best(word, v):
+    """Tokens of the best segmentation, by recursion over ends."""
+
+    @lru_cache(None)
+    def at(end):
+        if not end:
+            return 0.0, 0
+        ways = []
+        for start in range(max(0, end - v.longest), end):
+            part = word[start:end]
+            if part in v.pieces:
+                gain, n = v.pieces[part][1], 1
+            elif end - start == 1:
+                gain, n = v.unknown, len(part.encode())
+            else:
+                continue
+            score, tokens = at(start)
+            ways.append((score + gain, -tokens - n))
+        score, tokens = max(ways)
+        return score, -tokens
+
+    return at(len(word))[1]
+
+
+def test_token_counts_equal_brute_force_and_the_encoding(spark, odd, docs, texts):
+    v = vocabulary.load()
+    counts = {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs).collect()}
+    ids = {r.doc_id: r.ids for r in subword_encoding.encode(docs).collect()}
+    assert all(len(ids[d]) == n for d, n in counts.items())
+    for d in sorted(texts)[:10]:
+        # Whole texts, so that cutting them into pre-tokens is tested too.
+        parts = vocabulary.escaped(texts[d])[:300]
+        assert best(parts, v) == sum(best(p, v) for p in vocabulary._PRE_TOKEN.findall(parts))
+        assert counts[d] == sum(best(p, v) for p in vocabulary.pre_tokens(texts[d]))
+    found = {r.doc_id: r.n_tokens for r in token_counts.token_counts(odd).collect()}
+    assert found[3] == found[4] == 0 and found[6] > 40_000
+
+
+def test_encoding_round_trip(spark, odd, docs, empty):
+    for table in (odd, docs):
+        text = {r.doc_id: r.text or "" for r in table.collect()}
+        back = subword_encoding.decode(subword_encoding.encode(table)).collect()
+        assert len(back) == table.count() and all(r.text == text[r.doc_id] for r in back)
+    assert subword_encoding.decode(subword_encoding.encode(empty)).count() == 0
+    assert token_counts.token_counts(empty).count() == 0
+
+
+def test_suffix_array_finds_every_occurrence():
+    text = np.array([ord(c) for c in "abracadabra\0abab\0"])
+    pieces = ["a", "ab", "abra", "bra", "cad", "zz", "abab"]
+    letters = np.zeros((len(pieces), 4), dtype=np.int64)
+    for i, p in enumerate(pieces):
+        letters[i, : len(p)] = [ord(c) for c in p]
+    suffixes = subword_encoding.suffix_array(text, 4)
+    low, high = subword_encoding.ranges(text, suffixes, letters, np.array([len(p) for p in pieces]))
+    plain = "".join(map(chr, text))
+    for p, a, b in zip(pieces, low, high):
+        assert sorted(suffixes[a:b].tolist()) == [m.start() for m in re.finditer(f"(?={p})", plain)]
+
+
+# --- nearest neighbours ------------------------------------------------------------
+
+
+def test_nearest_neighbours_recall_and_distances(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    x = {r.vec_id: np.array(r.embedding, dtype=float) for r in rows.collect()}
+    found = defaultdict(list)
+    for r in nearest_neighbours.nearest(rows, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
+        assert math.isclose(r.score, float(np.sqrt(((x[r.query_id] - x[r.vec_id]) ** 2).sum())), abs_tol=1e-12)
+        found[r.query_id].append(r.vec_id)
+    hits = 0
+    for q, got in found.items():
+        near = sorted((float(np.sqrt(((x[q] - v) ** 2).sum())), i) for i, v in x.items() if i != q)[:10]
+        hits += len({i for _, i in near} & set(got))
+    assert hits >= 0.9 * 10 * len(found)
+
+
+def test_nearest_neighbours_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 1.0]), (4, [0.0, 0.0]), (5, None)]
+    rows += [(6, [nan, 1.0]), (7, [inf, 1.0]), (8, [1.0]), (9, [None, 1.0]), (10, [3.0, 0.0]), (None, [1.0, 1.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("rank", F.lit(1))
+    got = nearest_neighbours.nearest(table, F.lit(True), k=3).orderBy("query_id", "rank").collect()
+    assert [(r.vec_id, r.score) for r in got if r.query_id == 0] == [(1, 0.0), (2, 0.0), (3, math.sqrt(2))]
+    assert {r.query_id for r in got} == {0, 1, 2, 3, 10}
+    assert nearest_neighbours.nearest(table.where("false"), F.lit(True)).count() == 0
+
+
+# --- mixing ----------------------------------------------------------------------------
+
+
+def test_targets_share_by_weight_under_the_limit():
+    assert mixing.targets([100, 100, 100], [1, 2, 3]) == [50.0, 100.0, 150.0]
+    assert mixing.targets([10, 1, 89], [1, 2, 3]) == [24.25, 3.0, 72.75]
+    assert mixing.targets([0, 0], [1, 2]) == [0.0, 0.0]
+
+
+def test_permutation_is_one():
+    for n in (1, 2, 3, 17, 1000):
+        assert sorted(mixing.permuted(np.arange(n), n, 5).tolist()) == list(range(n))
+
+
+def test_mix_reaches_targets_and_repeats(spark, docs, texts):
+    got = mixing.taken(docs, block=64).collect()
+    assert sorted(got) == sorted(mixing.taken(docs, block=64).collect())
+    source = {r.doc_id: r.source for r in docs.collect()}
+    took = Counter()
+    for r in got:
+        assert r.size == len(WORD.findall(texts[r.doc_id])) and r.taken <= 3 * r.size
+        took[source[r.doc_id]] += r.taken
+    assert all(abs(took[source[r.doc_id]] - r.target) <= 0.5 for r in got)
+
+
+def test_mixed_documents_hold_the_words_taken(spark, odd, docs, texts, empty):
+    taken = {r.doc_id: r.taken for r in mixing.taken(docs, block=64).collect()}
+    held = Counter()
+    for r in mixing.mixed_documents(docs, block=64).collect():
+        held[r.doc_id] += len(WORD.findall(r.text))
+        assert set(WORD.findall(r.text)) <= set(WORD.findall(texts[r.doc_id]))
+    assert {d: n for d, n in taken.items() if n} == dict(held)
+    assert len(mixing.taken(odd).collect()) == len(ODD) and mixing.taken(empty).count() == 0
+    assert mixing.mixed_documents(odd).columns == odd.columns and mixing.mixed_documents(empty).count() == 0
+
+
+# --- duplicates ------------------------------------------------------------------------
+
+
+def test_fuse_filter_holds_every_key():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 2, 5, 100, 20_000):
+        keys = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        filter_ = exact_dedup.build_filter(keys)
+        assert exact_dedup.may_contain(keys, *filter_).all()
+    others = rng.integers(0, 1 << 63, 50_000).astype(np.uint64)
+    assert exact_dedup.may_contain(others, *filter_).mean() < 0.01
+    assert len(filter_[3]) < 1.4 * 20_000
+
+
+@pytest.mark.parametrize("snapshot", ["doc_id % 2 = 0", "true", "false"])
+def test_exact_dedup_equals_grouping(spark, docs, texts, snapshot):
+    groups = defaultdict(list)
+    for d, t in texts.items():
+        groups[hashlib.sha256(t.encode().lower()).digest()].append(d)
+    want = {(d, max(g), len(g), d == max(g), h) for h, g in groups.items() for d in g}
+    got = exact_dedup.exact_dedup(docs, F.expr(snapshot)).collect()
+    assert {(r.doc_id, r.keep_id, r.group_size, r.kept, bytes(r.digest)) for r in got} == want
+
+
+def test_exact_dedup_odd_rows(spark, odd, empty):
+    got = exact_dedup.exact_dedup(odd, F.expr("doc_id % 2 = 0")).collect()
+    assert sorted((r.doc_id, r.keep_id, r.group_size) for r in got)[:5] == [(1, 2, 3), (1, 2, 3), (2, 2, 3), (3, 4, 2), (4, 4, 2)]
+    kept = exact_dedup.kept_documents(odd, F.expr("doc_id % 2 = 0"))
+    assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.collect()) == [2, 4, 5, 6, 7, 8, 9]
+    assert exact_dedup.exact_dedup(empty, F.lit(True)).count() == 0
+
+
+def plain_units(texts):
+    seen, result = set(), {}
+    for d in sorted(texts):
+        kept = ""
+        lines = texts[d].split("\n")
+        for i, line in enumerate(lines):
+            norm = substring_dedup.normalised(line)
+            if not norm or norm not in seen:
+                kept += line + ("\n" if i < len(lines) - 1 else "")
+            seen.add(norm)
+        result[d] = kept
+    return result
+
+
+def test_substring_dedup_equals_a_scan(spark, docs, texts, odd, empty):
+    got = {r.doc_id: r for r in substring_dedup.substring_dedup(docs).collect()}
+    want = plain_units(texts)
+    for d, r in got.items():
+        assert r.text == want[d] and len(r.removed) == r.n_removed
+        for s in r.removed:
+            first = texts[s.kept_id][s.kept_start :].split("\n")[0]
+            assert substring_dedup.normalised(first) == substring_dedup.normalised(texts[d][s.start : s.stop])
+    found = {r.doc_id: r.text for r in substring_dedup.substring_dedup(odd).collect()}
+    assert found[2] == "" and found[3] is None and found[7] == "one\ntwo\n" and found[8] == ""
+    assert substring_dedup.substring_dedup(odd, "paragraph").count() == len(ODD)
+    assert substring_dedup.substring_dedup(empty).count() == 0
+
+
+def plain_classes(texts, n, percent):
+    sets = {}
+    for d, t in texts.items():
+        w = words(t)
+        sets[d] = {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} or ({tuple(w)} if w else set())
+    holders = defaultdict(list)
+    for d, s in sets.items():
+        for x in s:
+            holders[x].append(d)
+    top, links = {d: d for d in sets}, Counter()
+
+    def root(d):
+        while top[d] != d:
+            d = top[d]
+        return d
+
+    for d, s in sets.items():
+        for e, both in Counter(e for x in s for e in holders[x] if e > d).items():
+            if 100 * both >= percent * (len(s) + len(sets[e]) - both):
+                links.update((d, e))
+                a, b = root(d), root(e)
+                top[max(a, b)] = min(a, b)
+    return {(d, len(s), root(d), links[d]) for d, s in sets.items()}
+
+
+@pytest.mark.parametrize(("n", "percent"), [(4, 85), (5, 80)])
+def test_jaccard_join_equals_all_pairs(spark, docs, texts, n, percent):
+    assert {tuple(r) for r in jaccard_join.jaccard_join(docs, n, percent).collect()} == plain_classes(texts, n, percent)
+
+
+def test_jaccard_join_blocks_and_near_copies(spark, monkeypatch):
+    """A group of near copies larger than a block, and one that is linked through others only."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_DOCS", 40)
+    base = [f"w{i}" for i in range(120)]
+    texts = {}
+    for d in range(150):
+        w = list(base)
+        w[d % 110] = f"x{d}"
+        texts[d] = " ".join(w)
+    texts |= {200 + d: f"lone {d} text" for d in range(20)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {tuple(r) for r in jaccard_join.jaccard_join(docs, 4, 85).collect()}
+    assert got == plain_classes(texts, 4, 85)
+
+
+def test_jaccard_join_odd_rows(spark, odd, empty):
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_join(odd).collect()}
+    assert got[1] == got[2] == (3, 1) and got[3] == (0, 3) and got[4] == (0, 4) and got[8] == (1, 8)
+    assert len(got) == 9 and jaccard_join.jaccard_join(empty).count() == 0
+
+
+def test_labels_follow_chains(spark):
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, 90), (95, 100)]
+    got = dict(common.labels(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert got == {**{i: 0 for i in range(41)}, 90: 90, 95: 90, 100: 90}
+
+
+def test_screen_loses_no_wanted_row(spark):
+    rows = spark.range(5000).withColumnRenamed("id", "k")
+    maybe, not_ = common.screened(rows, "k", spark.range(0, 5000, 7))
+    held = {r.k for r in maybe.collect()}
+    assert set(range(0, 5000, 7)) <= held and len(held) < 800 and maybe.count() + not_.count() == 5000
+
+
+# --- scoring ---------------------------------------------------------------------------
+
+
+def test_lm_base_score_and_counts(spark, docs, texts, odd, empty):
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    counts = Counter()
+    for d, t in texts.items():
+        if zlib.crc32(str(d).encode()) % 7 != 2:
+            counts.update([*words(t), ""])
+    total, kinds = sum(counts.values()), len(counts)
+    for r in lm_scoring.lm_score(docs, held).collect():
+        tokens = [*words(texts[r.doc_id]), ""]
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 7 == 2)
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(tokens), sum(counts[t] > 0 for t in tokens), total)
+        assert math.isclose(r.base_score, sum(math.log10((counts[t] + 1) / (total + kinds + 1)) for t in tokens), rel_tol=1e-9)
+        assert -math.inf < r.score < 0
+    known = lm_scoring.lm_score(docs, held).where("not held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert known[0] > known[1]
+    assert len(lm_scoring.lm_score(odd, F.expr("doc_id = 9")).collect()) == len(ODD)
+    assert all(r.score < 0 for r in lm_scoring.lm_score(odd, F.lit(True)).collect())
+    assert lm_scoring.lm_score(empty, F.lit(False)).count() == 0
+
+
+def test_lattice_sums_all_segmentations():
+    speller = lm_scoring.Speller.given(subword_encoding.Encoder(vocabulary.load()))
+    names = list(vocabulary.load().pieces)
+    weight = dict(zip(names, speller.pieces))
+
+    def total(word):
+        sums = [1.0] + [0.0] * len(word)
+        for end in range(1, len(word) + 1):
+            for start in range(end):
+                part = word[start:end]
+                if part in weight:
+                    sums[end] += sums[start] * math.exp(weight[part])
+                elif len(part) == 1:
+                    sums[end] += sums[start] * math.exp(speller.byte * len(part.encode()))
+        return sums[-1] * math.exp(speller.end)
+
+    tests = ["the", "tionality", "é%%%", "x", "日本܀"]
+    lattice = speller.encoder.edges([vocabulary.SPACE + w for w in tests])
+    assert np.allclose(np.exp(speller.log_probability(lattice)), [total(vocabulary.SPACE + w) for w in tests])
+    word, _, uses = speller.uses(lattice)
+    text, starts, ends, begin, length, _ = lattice
+    for i, w in enumerate(tests):  # expected uses cover each character once
+        assert math.isclose((uses * length)[word == i].sum(), len(w) + 1, rel_tol=1e-9)
+
+
+def test_quality_classifier_on_held_out_labels(spark, sf_dir, docs, odd, empty):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    learn, test = labels.where("doc_id % 3 > 0"), labels.where("doc_id % 3 = 0")
+    got = quality_classifier.score(docs, learn, ["quality", "toxic"])
+    rows = got.join(test, "doc_id").collect()
+    assert np.mean([(r.p_quality >= 0.5) == (r.quality == 1) for r in rows]) >= 0.9
+    none = spark.createDataFrame([(1, None, 0)], "doc_id long, quality int, toxic int")
+    assert quality_classifier.score(odd, labels.unionByName(none), ["quality"]).count() == len(ODD)
+    assert {r.p_quality for r in quality_classifier.score(odd, none, ["quality"]).collect()} == {0.5}
+    kept = quality_classifier.accepted(odd, none)
+    assert kept.columns == odd.columns and kept.count() == len(ODD)
+    assert quality_classifier.score(empty, labels, ["quality"]).count() == 0
+
+
+# --- sharding --------------------------------------------------------------------------
+
+
+def test_shards_are_even_and_keep_groups_together(spark, docs, texts, odd, empty):
+    rows = sharding.shard(docs, 5).collect()
+    loads, slots, home = Counter(), defaultdict(list), defaultdict(set)
+    for r in rows:
+        data = texts[r.doc_id].encode()
+        assert (r.size, r.text_crc32) == (len(data) + 16, zlib.crc32(data))
+        loads[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+        home[texts[r.doc_id]].add(r.shard)
+    assert len(rows) == len(texts) and all(len(h) == 1 for h in home.values())
+    assert max(loads.values()) - min(loads.values()) <= 0.02 * max(loads.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert len(sharding.shard(odd, 3).collect()) == len(ODD) and sharding.shard(empty, 3).count() == 0
+
+
+def test_least_loaded_takes_the_largest_first():
+    assert sharding.least_loaded([(3, "a"), (5, "b"), (4, "c"), (2, "d")], 2) == {"b": 0, "c": 1, "a": 1, "d": 0}
+
+
+# --- pipeline --------------------------------------------------------------------------
+
+
+def test_pipeline_stages(spark, sf_dir, texts):
+    import corpus_pipeline
+
+    labels = {r.doc_id: r for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    names = docs.columns
+    held = []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = common.materialize(stage(spark, docs, sf_dir), name)
+        held.append((name, docs.collect()))
+        if name != "tokens":
+            assert docs.columns == names
+    by = {name: [r.doc_id for r in rows] for name, rows in held}
+    clean = [d for d, r in labels.items() if r.quality == 1 and not r.toxic and d in texts]
+    assert np.mean([d in set(by["quality"]) for d in clean]) > 0.95
+    groups = {}
+    for d in by["quality"]:
+        key = texts[d].encode().lower()
+        groups[key] = max(d, groups.get(key, d))
+    assert sorted(by["exact"]) == sorted(groups.values())
+    classes = plain_classes({d: texts[d] for d in by["exact"]}, 5, 80)
+    assert sorted(by["near"]) == sorted({c for _, _, c, _ in classes})
+    assert set(by["mix"]) <= set(by["near"]) and sorted(by["tokens"]) == sorted(by["mix"])
