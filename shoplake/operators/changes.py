@@ -91,8 +91,8 @@ def merge(
 
     Matched INSERT halves of updates replace all non-key columns, unmatched
     plain INSERTs are added, matched plain DELETEs remove; every other
-    combination does nothing. Two changes that would both update or delete the
-    same target row are an error.
+    combination does nothing. Several DELETEs of a key delete as one does; two
+    updates of a target row, or an update and a DELETE, are an error.
     """
     keys = list(keys)
     columns = target.columns
@@ -106,18 +106,19 @@ def merge(
     per_key = (
         firing.groupBy(*keys)
         .agg(
-            F.count("*").alias("_changes"),
+            F.count_if(~is_delete).alias("_updates"),
+            F.count_if(is_delete).alias("_deletes"),
             F.first(F.struct(is_delete.alias("gone"), *payload)).alias("_to"),
         )
         .select(
             *keys,
-            "_changes",
+            ((F.col("_updates") > 1) | ((F.col("_updates") > 0) & (F.col("_deletes") > 0))).alias("_clash"),
             F.col("_to.gone").alias("_gone"),
             *[F.col(f"_to.{c}").alias(f"_to_{c}") for c in payload],
         )
     )
     clash = F.raise_error(F.lit("several changes update or delete one target row"))
-    stays = F.when(F.col("_changes") > 1, clash.cast("boolean")).otherwise(
+    stays = F.when(F.col("_clash"), clash.cast("boolean")).otherwise(
         F.coalesce(~F.col("_gone"), F.lit(True))
     )
     kept = (

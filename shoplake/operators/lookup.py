@@ -9,7 +9,7 @@ from typing import Literal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, MapType, StringType, VariantType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType, VariantType
 
 # A side is broadcast only when its measured size is at most this.
 BROADCAST_BYTES = 128 << 20
@@ -25,8 +25,10 @@ def all_set(keys: Sequence[str]) -> Column:
 
 
 def byte_size(df: DataFrame) -> Column:
-    """Aggregate: bytes that the rows of ``df`` need, by row count and text lengths."""
-    texts = [f.name for f in df.schema if isinstance(f.dataType, StringType | BinaryType)]
+    """Aggregate: bytes that the rows of ``df`` need, by row count and the lengths of texts and nested values."""
+    texts = [F.col(f.name) for f in df.schema if isinstance(f.dataType, StringType | BinaryType)]
+    # Nested values count by their text; the struct takes in a value of any kind.
+    texts += [F.to_json(F.struct(f.name)) for f in df.schema if isinstance(f.dataType, ArrayType | MapType | StructType | VariantType)]
     fixed = F.lit(16 * len(df.columns)).cast("bigint")
     width = reduce(add, [F.coalesce(F.octet_length(c), F.lit(0)) for c in texts], fixed)
     return F.coalesce(F.sum(width), F.lit(0).cast("bigint"))
