@@ -101,7 +101,7 @@ def forward(size: int, starts: np.ndarray, begin: np.ndarray, length: np.ndarray
     owner = np.repeat(starts, np.diff(np.append(starts, size)))
     end = begin + length
     distance = end - owner[begin]
-    order = np.argsort(distance * (size + 1) + end)
+    order = np.argsort(distance.astype(np.int64) * (size + 1) + end)
     begin, weight, end, distance = begin[order], weight[order], end[order], distance[order]
     total = np.full(size + 1, -np.inf)
     total[starts] = 0.0

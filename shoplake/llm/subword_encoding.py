@@ -18,7 +18,10 @@ from shoplake.llm.vocabulary import PIECES, SPACE, Vocabulary, coded_pre_tokens,
 MAX_KNOWN = 600_000
 
 #: Characters of new pre-tokens that one suffix array holds, unless one is longer.
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 19
+
+#: Text that one step of encoding takes in.
+ENCODE_BYTES = 4 << 20
 
 
 class Encoder:
@@ -73,20 +76,20 @@ class Encoder:
         low, high = ranges(text, suffixes, self.letters, self.lengths)
         # Edges: each occurrence of each piece, then one for each character alone.
         count = high - low
-        piece = np.repeat(np.arange(len(count)), count)
-        begin = suffixes[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)]
+        piece = np.repeat(np.arange(len(count), dtype=np.int32), count)
+        begin = suffixes[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - low, count)].astype(np.int32)
         lone = np.flatnonzero(text != 0)
         lone = lone[~np.isin(text[lone], self.letters[self.lengths == 1, 0])]
-        begin = np.concatenate([begin, lone])
-        length = np.concatenate([self.lengths[piece], np.ones(len(lone), dtype=np.int64)])
-        return text, starts, ends, begin, length, np.concatenate([piece, np.full(len(lone), -1)])
+        begin = np.concatenate([begin, lone.astype(np.int32)])
+        length = np.concatenate([self.lengths.astype(np.int32)[piece], np.ones(len(lone), dtype=np.int32)])
+        return text, starts, ends, begin, length, np.concatenate([piece, np.full(len(lone), -1, dtype=np.int32)])
 
     def _encode(self, words: list[str]) -> None:
         words = sorted(words, key=len, reverse=True)
         text, starts, ends, begin, length, piece = self.edges(words)
         # Characters without a piece stand behind the pieces, by their UTF-8 bytes.
         pieces = len(self.scores)
-        name = np.where(piece >= 0, piece, pieces - 1 + utf8_bytes(text[begin]))
+        name = np.where(piece >= 0, piece, pieces - 1 + utf8_bytes(text[begin])).astype(np.int32)
         gain = np.concatenate([self.scores, np.full(4, self.vocabulary.unknown)])
         parts = np.concatenate([np.ones(pieces, dtype=np.int64), [1, 2, 3, 4]])
         tokens, back, step = relax(len(text), starts, ends, begin, length, name, gain, parts)
@@ -220,7 +223,7 @@ def encode(docs: DataFrame, path: str = PIECES) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(vocabulary)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", ENCODE_BYTES):
             offsets, codes, words = coded_pre_tokens(batch.column("text"))
             if len(encoder.known) > MAX_KNOWN:
                 encoder.forget()
