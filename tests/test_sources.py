@@ -205,3 +205,15 @@ def test_parquet_matches_names_in_any_case(spark, tmp_path):
     assert rows(df, "order_id", "quantity_ordered", "is_late", "order_date") == [
         ("O1", 5, True, None)
     ]
+
+
+@pytest.mark.parametrize("text", [f"[{EVENT}] garbage", f"[{EVENT}]\n[{EVENT}]", f"{EVENT}\n{EVENT}"])
+def test_json_after_the_first_document_fails(spark, tmp_path, text):
+    path = _file(tmp_path / "in", "a.json", text)
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_event_payloads(spark, path).collect()
+
+
+def test_json_lines_with_several_elements(spark, tmp_path):
+    path = _file(tmp_path / "in", "a.json", f"[{EVENT}, {EVENT},\n{EVENT}]\n{EVENT}\n")
+    assert read_event_payloads(spark, path, JsonFormat(layout="lines")).count() == 4
