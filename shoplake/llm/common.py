@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import reduce
 
@@ -24,16 +25,28 @@ HOT_SHARE = 1000
 SCREEN_BITS = 1 << 25
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in pieces of at most ``limit`` bytes of ``column`` (or one row)."""
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES, rows: int | None = None
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in pieces of at most ``limit`` bytes of ``column`` (or one row) and ``rows`` rows."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         ends, start = np.cumsum(sizes), 0
         while start < len(ends):
             base = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
+            stop = min(stop, start + (rows or len(ends)))
             yield batch.slice(start, stop - start)
             start = stop
+    release()
+
+
+def release() -> None:
+    """Give memory that is free in a Python worker back to the system: workers outlive tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library only
+    if trim:
+        trim(0)
 
 
 def split_words(text: pa.Array) -> tuple[np.ndarray, pa.Array]:

@@ -23,6 +23,9 @@ ROUNDS, HANDED, CONFIDENT = 3, 200, 0.95
 #: Languages and sources that the metadata view tells apart, the others being one.
 NAMES = 50
 
+#: Text and rows of one step of learning or scoring.
+STEP_BYTES, STEP_ROWS = 4 << 20, 2_000
+
 #: A row in so many of the labelled ones calibrates and is not learned from.
 CALIBRATE = 4
 
@@ -40,8 +43,10 @@ def shapes(text: pa.Array, offsets: np.ndarray, distinct: np.ndarray) -> np.ndar
     upper = (raw >= 65) & (raw <= 90)
     lower = ((raw >= 97) & (raw <= 122)) | (raw >= 128)
     for kind in (upper, (raw >= 33) & ~upper & ~lower & ~((raw >= 48) & (raw <= 57)), (raw >= 48) & (raw <= 57)):
-        total = np.concatenate([[0], np.cumsum(kind)])
-        columns.append((total[ends[1:]] - total[ends[:-1]]) / n)
+        total = np.zeros(len(size))
+        if len(raw):
+            total[size > 0] = np.add.reduceat(kind, ends[:-1][size > 0], dtype=np.int64)
+        columns.append(total / n)
     words = np.diff(offsets)
     columns.append(np.log1p(size / np.maximum(words, 1)))
     columns.append(np.log1p(words) - np.log1p(distinct))
@@ -176,7 +181,7 @@ def _telling_words(sample: DataFrame, target: str) -> list[str]:
     """Words whose presence tells most about a target, by the likelihood ratio, in at least five texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", STEP_BYTES, STEP_ROWS):
             offsets, words = split_words(batch.column("text"))
             coded = words.dictionary_encode()
             names = max(len(coded.dictionary), 1)
@@ -218,7 +223,7 @@ class Classifier:
         schema = f"doc_id long, {', '.join(f'{y} double' for y in ys)}, text array<float>, meta array<float>"
 
         def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches, "text"):
+            for batch in slices(batches, "text", STEP_BYTES, STEP_ROWS):
                 row = [pa.array(list(x.astype(np.float32))) for x in plain(batch)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), *[batch.column(y) for y in ys], *row], ["doc_id", *ys, "text", "meta"]
@@ -285,7 +290,7 @@ def score(docs: DataFrame, labels: DataFrame, targets: list[str]) -> DataFrame:
     outputs = [f"{kind}_{t}" for t in targets for kind in ("p", "text", "meta")]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", STEP_BYTES, STEP_ROWS):
             found = run(batch)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(found[c]) for c in outputs]], ["doc_id", *outputs])
 
@@ -301,17 +306,16 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     run = Classifier(docs, labels, ["quality", "toxic"]).scorer()
     names, extra = docs.columns, ["lang", "source", "n_chars"]
-    beside = docs.select("*", F.struct("text", *_meta(docs)).alias("_scored")) if names else docs
+    text = [n.lower() for n in names].index("text")
+    beside = docs.select("*", F.struct(*_meta(docs)).alias("_meta"))
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen = batch.column(len(names))
-            flat = pa.RecordBatch.from_arrays(seen.flatten(), ["text", *extra])
-            good = [np.zeros(0, dtype=bool)]
-            for part in slices(iter([flat]), "text"):
-                found = run(part)
-                good.append((found["p_quality"] >= 0.5) & ((found["p_toxic"] < 0.5) | (found["p_toxic"] == 0.5) & (found["text_toxic"] == 0.5)))
-            yield pa.RecordBatch.from_arrays(batch.columns[: len(names)], names).filter(pa.array(np.concatenate(good)))
+        texts = (b.rename_columns([f"{i}" for i in range(len(names) + 1)]) for b in batches)
+        for batch in slices(texts, f"{text}", STEP_BYTES, STEP_ROWS):
+            meta = batch.column(len(names)).flatten()
+            found = run(pa.RecordBatch.from_arrays([batch.column(text), *meta], ["text", *extra]))
+            good = (found["p_quality"] >= 0.5) & ((found["p_toxic"] < 0.5) | (found["p_toxic"] == 0.5) & (found["text_toxic"] == 0.5))
+            yield pa.RecordBatch.from_arrays(batch.columns[: len(names)], names).filter(pa.array(good))
 
     return beside.mapInArrow(kept, docs.schema)
 
