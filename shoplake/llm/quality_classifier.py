@@ -26,7 +26,7 @@ NAMES = 50
 #: Text and rows of one step of learning or scoring.
 STEP_BYTES, STEP_ROWS = 4 << 20, 2_000
 
-#: A row in so many of the labelled ones calibrates and is not learned from.
+#: Parts of the labelled rows, by which they calibrate what was learned without them.
 CALIBRATE = 4
 
 _SHAPES = 6
@@ -82,27 +82,34 @@ class View:
         return self.slope * (z @ self.weights[:-1] + self.weights[-1]) + self.offset
 
     @staticmethod
-    def fitted(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> View:
+    def fitted(x: np.ndarray, y: np.ndarray, ridge: float = 10.0) -> View:
         mean, scale = x.mean(axis=0), x.std(axis=0)
         scale = np.where(scale > 1e-9, scale, 1.0)
         z = np.clip((x - mean) / scale, -6, 6)
         return View(mean, scale, _logistic(np.hstack([z, np.ones((len(z), 1))]), y, ridge))
 
-    def calibrated(self, x: np.ndarray, y: np.ndarray) -> View:
-        """Two numbers that turn the margin into log-odds, from rows that were not learned from."""
+    def calibrated(self, margin: np.ndarray, y: np.ndarray) -> View:
+        """Two numbers that turn the margin into log-odds, from margins of rows that were not learned from.
+
+        The slope is drawn to 1, so few rows change little. A view whose margin runs
+        against the labels says nothing: its log-odds are those of the labels.
+        """
         if len(set(y.tolist())) < 2:
             return self
-        slope, offset = _logistic(np.stack([self.margin(x), np.ones(len(x))], axis=1), (y * len(y) + 0.5) / (len(y) + 1), 1e-3)
-        return View(self.mean, self.scale, self.weights, max(float(slope), 0.0), float(offset))
+        soft = (y * len(y) + 0.5) / (len(y) + 1)
+        slope, offset = _logistic(np.stack([margin, np.ones(len(y))], axis=1), soft, 1.0, margin) + (1.0, 0.0)
+        if slope <= 0:
+            slope, offset = 0.0, np.log(soft.mean() / (1 - soft.mean()))
+        return View(self.mean, self.scale, self.weights, float(slope), float(offset))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
-    """Newton's method; the last column, the constant, is not held back."""
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float, base: np.ndarray | float = 0.0) -> np.ndarray:
+    """Newton's method, on top of given margins; the last column, the constant, is not held back."""
     w = np.zeros(x.shape[1])
     hold = np.full(x.shape[1], ridge)
     hold[-1] = 1e-6
     for _ in range(12):
-        p = _odds(x @ w)
+        p = _odds(base + x @ w)
         step = np.linalg.solve((x * (p * (1 - p) + 1e-6)[:, None]).T @ x + np.diag(hold), x.T @ (p - y) + hold * w)
         w -= step * min(1.0, 4.0 / max(np.abs(step).max(), 1e-9))
         if np.abs(step).max() < 1e-4:
@@ -114,23 +121,26 @@ def _odds(margin: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(margin, -500, 500)))
 
 
-def co_train(views: list[np.ndarray], y: np.ndarray, known: np.ndarray) -> tuple[list[View], float]:
-    """Two calibrated views of one target and its log-odds before any view.
+def co_train(views: list[np.ndarray], y: np.ndarray, known: np.ndarray) -> tuple[list[View], np.ndarray]:
+    """Two calibrated views of one target; how their log-odds add up, and a constant.
 
     ``y`` counts where ``known``; the other rows are the pool. In each round both
     views are fitted, and each hands the pool rows that it is surest of, with its
-    labels, to the other one's training rows.
+    labels, to the other one's training rows. In the rounds some labelled rows are
+    kept back to calibrate; in the end each labelled row calibrates by a fit without
+    it, and is learned from.
     """
     labelled = np.flatnonzero(known)
-    fold = np.arange(len(labelled)) % CALIBRATE == 0
-    held, base = labelled[fold], labelled[~fold]
-    prior = float(np.clip(y[base].mean() if len(base) else 0.5, 1e-3, 1 - 1e-3))
-    given = [{int(i): float(y[i]) for i in base} for _ in views]
-    for round_ in range(ROUNDS + 1):
-        fitted = [View.fitted(x[list(g)], np.array(list(g.values()))) for x, g in zip(views, given)]
-        fitted = [f.calibrated(x[held], y[held]) for f, x in zip(fitted, views)]
-        if round_ == ROUNDS:
-            break
+    fold = np.arange(len(labelled)) % CALIBRATE
+    given: list[dict[int, float]] = [{} for _ in views]
+
+    def fit(x: np.ndarray, pseudo: dict[int, float], rows: np.ndarray) -> View:
+        return View.fitted(np.vstack([x[rows], x[list(pseudo)]]) if pseudo else x[rows], np.concatenate([y[rows], list(pseudo.values())]))
+
+    for _ in range(ROUNDS):
+        held, base = labelled[fold == 0], labelled[fold > 0]
+        fitted = [fit(x, g, base) for x, g in zip(views, given)]
+        fitted = [f.calibrated(f.margin(x[held]), y[held]) for f, x in zip(fitted, views)]
         for teacher, pupil in ((0, 1), (1, 0)):
             pool = np.array([i for i in np.flatnonzero(~known) if i not in given[pupil]], dtype=np.int64)
             if not len(pool):
@@ -139,7 +149,20 @@ def co_train(views: list[np.ndarray], y: np.ndarray, known: np.ndarray) -> tuple
             for label, sure in ((1.0, p), (0.0, 1 - p)):
                 best = np.argsort(-sure, kind="stable")[:HANDED]
                 given[pupil].update({int(pool[i]): label for i in best if sure[i] >= CONFIDENT})
-    return fitted, float(np.log(prior / (1 - prior)))
+    final, seen = [], []
+    for x, g in zip(views, given):
+        margin = np.zeros(len(labelled))
+        for k in range(CALIBRATE):
+            margin[fold == k] = fit(x, g, labelled[fold != k]).margin(x[labelled[fold == k]])
+        view = fit(x, g, labelled).calibrated(margin, y[labelled])
+        final.append(view)
+        seen.append(view.slope * margin + view.offset)
+    # Independent views would just add up, less what is known before any view; how far
+    # they are from that shows on the labelled rows.
+    rate = float(np.clip(y[labelled].mean(), 1e-3, 1 - 1e-3))
+    sum_ = np.array([1.0, 1.0, -np.log(rate / (1 - rate))])
+    x = np.stack([*seen, np.ones(len(labelled))], axis=1)
+    return final, sum_ + _logistic(x, (y[labelled] * len(labelled) + 0.5) / (len(labelled) + 1), 1.0, x @ sum_)
 
 
 def _meta(docs: DataFrame) -> list[Column]:
@@ -231,7 +254,7 @@ class Classifier:
 
         learned = sample.mapInArrow(features, schema).orderBy("doc_id").toArrow()
         x = [np.stack(learned.column(c).to_numpy()) if len(learned) else np.zeros((0, 1)) for c in ("text", "meta")]
-        self.models: dict[str, tuple[list[View], float] | None] = {}
+        self.models: dict[str, tuple[list[View], np.ndarray] | None] = {}
         for t in targets:
             y = learned.column(f"y_{t}").to_numpy().astype(float)
             known = np.isfinite(y)
@@ -260,9 +283,9 @@ class Classifier:
                 if models[t] is None:
                     a = b = both = np.zeros(len(batch))
                 else:
-                    (content, page), prior = models[t]
+                    (content, page), (of_text, of_meta, constant) = models[t]
                     a, b = content.margin(text[:, columns[t]]), page.margin(meta)
-                    both = a + b - prior
+                    both = of_text * a + of_meta * b + constant
                 result |= {f"p_{t}": _odds(both), f"text_{t}": _odds(a), f"meta_{t}": _odds(b)}
             return result
 
@@ -275,9 +298,9 @@ def score(docs: DataFrame, labels: DataFrame, targets: list[str]) -> DataFrame:
     ``labels`` has doc_id and 0/1 columns ``targets``. For each target one classifier
     sees the text (telling words and the text's shape), another the metadata (lang,
     source, n_chars). They are co-trained on at most 6,000 labelled and 4,000 other
-    rows, in hash order of their id, and calibrated on a quarter of the labelled
-    ones. Views are combined as independent evidence: log-odds add up, less the
-    prior's.
+    rows, in hash order of their id, and calibrated by fits without a quarter each.
+    The views' log-odds add up, by weights that start from those of independent
+    evidence.
 
     Every row is scored by its whole text. Null and empty texts have no words;
     missing metadata is a value of its own. Repeated ids are scored each; of repeated
