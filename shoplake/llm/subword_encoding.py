@@ -15,7 +15,7 @@ from shoplake.llm.common import slices
 from shoplake.llm.vocabulary import PIECES, SPACE, Vocabulary, coded_pre_tokens, load
 
 #: Encoded pre-tokens that a Python worker remembers before it starts anew.
-MAX_KNOWN = 600_000
+MAX_KNOWN = 150_000
 
 #: Characters of new pre-tokens that one suffix array holds, unless one is longer.
 BATCH_CHARS = 1 << 19
