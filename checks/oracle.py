@@ -255,4 +255,16 @@ ORACLE: dict[str, str] = {
     "stream_pos": _query("select * from s_pos"),
     "stream_iot": _query("select * from s_sensor"),
     "stream_erp": _query("select * from s_erp"),
+    "handover": _query(
+        "select * replace (case when cast(transaction_id as bigint) % 11 > 0 "
+        "then transaction_id end as transaction_id) from s_pos"
+    ),
+    "file_selection": _query(
+        "select case store_region when 'ASIA' then 'prefix' else 'list' end as selected, * from pos "
+        "where store_region in ('ASIA', 'EUROPE')"
+    ),
+    "audit_columns": _query(
+        "select event_id as row_id, 'sensor-feed' as origin, '2024-05-06 07:08:09' as written from iot "
+        "union all select store_id, 'dim_store', '2024-05-06 07:08:09' from d_store"
+    ),
 }

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import feeds
@@ -15,7 +16,7 @@ from shoplake.plans.lakehouse import Lakehouse
 from shoplake.schemas import ERP_BRONZE, ERP_SILVER, IOT_BRONZE, SENSOR_SILVER, pos_bronze, pos_silver
 from shoplake.sources import read_csv_pos, read_event_payloads, read_json_events, read_parquet_erp
 from shoplake.storage import materialize, scratch_path, write_table
-from shoplake.streaming import ingest_stream, merge_stream, read_merged
+from shoplake.streaming import backfill, ingest_stream, merge_stream, read_merged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -396,6 +397,70 @@ def stream_erp(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def handover(spark: SparkSession, sf: str) -> DataFrame:
+    """Bulk load, then a stream, then the same stream from an empty checkpoint.
+
+    Every eleventh order has no key, the others have one row per line.
+    """
+    work = scratch_path(spark, "handover")
+    number = F.col("transaction_id")
+    rows = _pos_raw(spark, sf).withColumn("transaction_id", F.when(number.cast("bigint") % 11 > 0, number))
+
+    def follow(checkpoint: str) -> None:
+        merge_stream(
+            spark,
+            f"{work}/raw",
+            pos_bronze(),
+            f"{work}/silver",
+            plans.silver_pos,
+            ["transaction_id"],
+            f"{work}/{checkpoint}",
+        ).awaitTermination()
+
+    early = F.col("store_region").isin("ASIA", "EUROPE")
+    _write_pos_files(rows.where(early), f"{work}/src")
+    _ingest(spark, "pos", f"{work}/src", work)
+    backfill(spark.read.schema(pos_bronze()).parquet(f"{work}/raw"), f"{work}/silver", plans.silver_pos)
+    follow("merged")
+    _write_pos_files(rows.where(~early), f"{work}/src")
+    _ingest(spark, "pos", f"{work}/src", work)
+    follow("merged")
+    follow("merged-anew")
+    return _plain(read_merged(spark, f"{work}/silver", pos_silver()))
+
+
+def file_selection(spark: SparkSession, sf: str) -> DataFrame:
+    """One region's files by their prefix, another's by an explicit list of files."""
+    work, rows = scratch_path(spark, "selection"), _pos_raw(spark, sf)
+    for region in ("ASIA", "EUROPE", "AFRICA"):
+        _write_pos_files(rows.where(F.col("store_region") == region), f"{work}/{region.lower()}-1")
+    by_prefix = read_csv_pos(spark, f"{work}/asia*")
+    listed = spark.read.text(f"{work}/europe-1").inputFiles()
+    return by_prefix.select(F.lit("prefix").alias("selected"), "*").unionByName(
+        read_csv_pos(spark, listed).select(F.lit("list").alias("selected"), "*")
+    )
+
+
+def audit_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Load time, source file and creation time, as text, of one run at a fixed time."""
+    run = datetime(2024, 5, 6, 7, 8, 9)
+    folder = f"{scratch_path(spark, 'audit')}/sensor-feed"
+    events = read_json_events(spark, _write_iot_files(feeds.feed(spark, sf, feeds.IOT), folder), run)
+    stores = plans.dim_store(_pos(spark, sf), _sensor(spark, sf), run_ts=run)
+
+    def text(column: str) -> Column:
+        return F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+
+    loaded = events.select(
+        F.col("event_id").alias("row_id"),
+        F.regexp_extract("source_file", r"/([^/]+)/part-[^/]+$", 1).alias("origin"),
+        text("loaded_at").alias("written"),
+    )
+    return loaded.unionByName(
+        stores.select(F.col("store_id").alias("row_id"), F.lit("dim_store").alias("origin"), text("created_at").alias("written"))
+    )
+
+
 def lakehouse(spark: SparkSession, sf: str) -> DataFrame:
     """The whole build, from feed files to row counts of the star schema."""
     root = scratch_path(spark, "lakehouse")
@@ -445,6 +510,9 @@ QUERIES: dict[str, Query] = {
         stream_pos,
         stream_iot,
         stream_erp,
+        handover,
+        file_selection,
+        audit_columns,
         lakehouse,
     )
 }
