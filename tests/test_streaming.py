@@ -202,3 +202,23 @@ def test_lakehouse_updates_without_a_full_refresh(spark, tmp_path):
     # A full refresh takes later versions of a transaction as they are in the raw table.
     again = lake.build_silver()["stg_csv_transaction"]
     assert again.count() == 4
+
+
+def test_no_raw_file_is_taken_in_twice(spark, tmp_path):
+    csv(tmp_path / "src", "a.csv", line("1"), line("N/A"))
+    ingest(spark, "pos", tmp_path)
+    backfill(spark.read.schema(pos_bronze()).parquet(str(tmp_path / "raw")), str(tmp_path / "silver"), silver_pos)
+    def follow(checkpoint):
+        merge_stream(
+            spark, str(tmp_path / "raw"), pos_bronze(), str(tmp_path / "silver"), silver_pos,
+            ["transaction_id"], str(tmp_path / checkpoint), files_per_batch=1,
+        ).awaitTermination()
+        return rows(read_merged(spark, str(tmp_path / "silver"), pos_silver()), "transaction_id")
+
+    assert follow("one") == [("1",), (None,)]
+    for name in ("b", "c"):
+        csv(tmp_path / "src", f"{name}.csv", line(name), line(name), line("N/A"))
+        ingest(spark, "pos", tmp_path)
+    wanted = [("1",), ("b",), ("b",), ("c",), ("c",), (None,), (None,), (None,)]
+    assert follow("one") == wanted
+    assert follow("two") == wanted
