@@ -93,4 +93,12 @@ QUERIES: dict[str, Query] = {
     "op10_subword_encoding": op10_subword_encoding,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_exact_dedup": """
+select doc_id, max(doc_id) over (partition by body) as keep_id,
+  count(*) over (partition by body) as group_size,
+  doc_id = max(doc_id) over (partition by body) as kept, sha256(body) as text_sha256
+from (select cast(doc_id as bigint) as doc_id,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as body
+      from documents)""",
+}
