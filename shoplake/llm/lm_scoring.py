@@ -139,7 +139,7 @@ def _count(docs: DataFrame, classes: int) -> DataFrame:
 
 
 def _uses(table: DataFrame, each: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Expected uses of every piece (and of bytes, last) in each class's distinct words, and their number."""
+    """Expected uses of every piece (and of bytes, last) in each class's tokens, and their number."""
     vocabulary = load(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,9 +149,9 @@ def _uses(table: DataFrame, each: list[str], path: str) -> tuple[np.ndarray, np.
         for batch in slices(batches, "word", LATTICE_BYTES):
             word, piece, uses = speller.uses(speller.encoder.edges([SPACE + w for w in batch.column("word").to_pylist()]))
             for z, c in enumerate(each):
-                has = batch.column(c).to_numpy() > 0
-                total[z, :size] += np.bincount(piece % size, weights=uses * has[word], minlength=size)
-                total[z, size] += has.sum()
+                times = batch.column(c).to_numpy()
+                total[z, :size] += np.bincount(piece % size, weights=uses * times[word], minlength=size)
+                total[z, size] += times.sum()
         kind, place = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(place), pa.array(total[kind, place])], ["kind", "place", "uses"])
 
@@ -164,7 +164,7 @@ def _uses(table: DataFrame, each: list[str], path: str) -> tuple[np.ndarray, np.
 
 
 def _spelled(table: DataFrame, expected: np.ndarray, words: np.ndarray, path: str) -> DataFrame:
-    """word and s0, s1, ...: log10 of its probability in each class's spelling."""
+    """``table`` and s0, s1, ...: log10 of the word's probability in each class's spelling."""
     vocabulary, names = load(path), [f"s{z}" for z in range(len(words))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,9 +173,10 @@ def _spelled(table: DataFrame, expected: np.ndarray, words: np.ndarray, path: st
         for batch in slices(batches, "word", LATTICE_BYTES):
             lattice = encoder.edges([SPACE + w for w in batch.column("word").to_pylist()])
             found = [pa.array((s.log_probability(lattice) + np.log1p(-END_SHARE)) / np.log(10.0)) for s in spellers]
-            yield pa.RecordBatch.from_arrays([batch.column("word"), *found], ["word", *names])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*batch.schema.names, *names])
 
-    return table.select("word").mapInArrow(run, "word string, " + ", ".join(f"{n} double" for n in names))
+    schema = ", ".join([*(f"{n} {t}" for n, t in table.dtypes), *(f"{n} double" for n in names)])
+    return table.mapInArrow(run, schema)
 
 
 def _places(docs: DataFrame, frequent: pa.Table, values: list[str]) -> DataFrame:
@@ -216,7 +217,7 @@ def _places(docs: DataFrame, frequent: pa.Table, values: list[str]) -> DataFrame
     return docs.select("row", "text", "doc_id", "learn").mapInArrow(run, schema)
 
 
-def lm_score(docs: DataFrame, held_out: Column, path: str = PIECES) -> DataFrame:
+def lm_score(docs: DataFrame, held_out: Column, path: str = PIECES, counts: bool = True) -> DataFrame:
     """Log10 probability of every text under a model learned from the others.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
@@ -226,13 +227,14 @@ def lm_score(docs: DataFrame, held_out: Column, path: str = PIECES) -> DataFrame
 
     The model is a mixture over languages (``lang``: the seven most frequent of the
     training texts, and the rest with null), which a text need not name: its
-    probability is the sum over languages of share times product over tokens. A
-    word's probability in a language is its discounted count; what the discount
-    leaves goes to its discounted count in all training texts, and what that leaves
-    to the spelling of new words: all paths of a word's subword lattice, summed by a
+    probability is the sum over languages of share times product over tokens. Every
+    word, seen or new, goes through its subword lattice: all paths, summed by a
     forward recursion in log space. The vocabulary file's scores weigh the paths of
-    the training texts' distinct words, whose expected pieces (one forward-backward
-    pass) then weigh the language's lattice, with the file's scores as prior. The
+    the training texts' words, whose expected pieces by token (one forward-backward
+    pass) then weigh the language's lattice, with the file's scores as prior. With
+    ``counts`` a seen word has two more edges over its whole length, its discounted
+    count in the language and in all training texts, and the lattice's sum weighs
+    what the discounts leave. Without them the lattice alone scores. The
     probabilities of all words and the end sum to at most 1.
 
     Null and empty texts are one end. Repeated rows are scored (and learned) each; an
@@ -273,9 +275,9 @@ def lm_score(docs: DataFrame, held_out: Column, path: str = PIECES) -> DataFrame
     left = discount * kinds / tokens if tokens else 1.0
     lefts = [discount * (stats[f"v{z}"] + (1 if e else 0)) / n if n else 1.0 for z, (n, e) in enumerate(zip(in_class, ends))]
 
-    def seen(most, count, counts):
+    def seen(most, count, by_class):
         general = most(count - discount, 0.0) / float(max(tokens, 1))
-        return [most(c - discount, 0.0) / float(max(n, 1)) + general * g for c, n, g in zip(counts, in_class, lefts)]
+        return [most(c - discount, 0.0) / float(max(n, 1)) + general * g for c, n, g in zip(by_class, in_class, lefts)]
 
     def base(count):
         return (count + 1) / float(tokens + kinds + 1)
@@ -284,23 +286,22 @@ def lm_score(docs: DataFrame, held_out: Column, path: str = PIECES) -> DataFrame
         return F.greatest(a, F.lit(b))
 
     values = ["base", "known", *[f"p{z}" for z in range(classes)]]
-    old = table.where(all_ > 0).select(
+    expected, words = _uses(table.where(all_ > 0), each, path)
+    # A word's probability is that of its lattice, and that of its counts on top.
+    spelled = [F.col(f"s{z}") + float(np.log10(g * left) if counts else 0.0) for z, g in enumerate(lefts)]
+    both = [
+        F.when(all_ > 0, F.log10(p + F.pow(F.lit(10.0), q))).otherwise(q) if counts else q
+        for p, q in zip(seen(column_most, all_, [F.col(c) for c in each]), spelled)
+    ]
+    scored = _spelled(table, expected, words, path).select(
         "word",
         all_.alias("c"),
         F.log10(base(all_)).alias("base"),
-        F.lit(1.0).alias("known"),
-        *[F.log10(p).alias(f"p{z}") for z, p in enumerate(seen(column_most, all_, [F.col(c) for c in each]))],
-    )
-    expected, words = _uses(table.where(all_ > 0), each, path)
-    new = _spelled(table.where(all_ == 0), expected, words, path).select(
-        "word",
-        F.lit(0).cast("long").alias("c"),
-        F.lit(float(np.log10(base(0)))).alias("base"),
-        F.lit(0.0).alias("known"),
-        *[(F.col(f"s{z}") + float(np.log10(g * left))).alias(f"p{z}") for z, g in enumerate(lefts)],
+        F.when(all_ > 0, 1.0).otherwise(0.0).alias("known"),
+        *[p.alias(f"p{z}") for z, p in enumerate(both)],
     )
-    scored = old.unionByName(new)
-    frequent = old.where(F.col("c") * FREQUENT >= tokens).toArrow()
+    scored = materialize(scored, "scored")
+    frequent = scored.where((F.col("c") > 0) & (F.col("c") * FREQUENT >= tokens)).toArrow()
     places = _places(rows, frequent, values)
     rare = scored.select(F.col("word").alias("_word"), *values)
     met = places.join(rare, F.col("word") == F.col("_word"), "left")
@@ -311,7 +312,7 @@ def lm_score(docs: DataFrame, held_out: Column, path: str = PIECES) -> DataFrame
         F.max("rest.learn").alias("learn"),
         F.max(F.col("rest.sums")[len(values)]).alias("words"),
     )
-    end_p = seen(max, sum(ends), ends) if sum(ends) else [END_SHARE * left * g for g in lefts]
+    end_p = [p + END_SHARE * left * g for p, g in zip(seen(max, sum(ends), ends), lefts)] if counts else [END_SHARE] * classes
     share = [(t + 1) / (sum(ends) + classes) for t in ends]
     in_log = [F.col(f"p{z}") + float(np.log10(end_p[z] * share[z])) for z in range(classes)]
     top = F.greatest(*in_log) if classes > 1 else in_log[0]

@@ -333,6 +333,41 @@ def test_lm_base_score_and_counts(spark, docs, texts, odd, empty):
     assert lm_scoring.lm_score(empty, F.lit(False)).count() == 0
 
 
+def test_lattice_scores_seen_words_too(spark):
+    rows = [(0, "the tionality the", "en", None), (1, "the", "en", None), (2, "the zzyzx tionality", None, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    encoder = subword_encoding.Encoder(vocabulary.load())
+    names, times = ["the", "tionality", "zzyzx"], [3, 1, 0]
+    lattice = encoder.edges([vocabulary.SPACE + w for w in names])
+    word, piece, uses = lm_scoring.Speller.given(encoder).uses(lattice)
+    expected = np.zeros(len(encoder.scores) + 1)
+    np.add.at(expected, piece, uses * np.array(times)[word])  # bytes (-1) stand last
+    prior = np.zeros_like(expected)
+    en, other = [
+        dict(zip(names, np.exp(lm_scoring.Speller.learned(encoder, e, n).log_probability(lattice)) * (1 - lm_scoring.END_SHARE)))
+        for e, n in ((expected, 4), (prior, 0))
+    ]
+    # 4 tokens and 2 ends; "tionality" once; "the" and the end make up 3 kinds with it.
+    d, n, kinds = (1 + 1) / (1 + 2), 6, 3
+    left = d * kinds / n
+
+    def lone(w, spell):
+        return spell[w]
+
+    def mixed(w, spell):
+        c = dict(zip(names, times))[w]
+        general = max(c - d, 0) / n + left * spell[w]
+        return general if spell is other else max(c - d, 0) / n + left * general
+
+    ends = {"mixed": [(2 - d) / n + left * ((2 - d) / n + left * lm_scoring.END_SHARE), (2 - d) / n + left * lm_scoring.END_SHARE]}
+    ends["lone"] = [lm_scoring.END_SHARE] * 2
+    for kind, of in (("mixed", mixed), ("lone", lone)):
+        for r in lm_scoring.lm_score(table, F.expr("doc_id = 2"), counts=kind == "mixed").collect():
+            parts = [math.prod(of(w, spell) for w in words(rows[r.doc_id][1])) for spell in (en, other)]
+            want = sum(share * p * e for share, p, e in zip((3 / 4, 1 / 4), parts, ends[kind]))
+            assert math.isclose(r.score, math.log10(want), rel_tol=1e-9)
+
+
 def test_lattice_sums_all_segmentations():
     speller = lm_scoring.Speller.given(subword_encoding.Encoder(vocabulary.load()))
     names = list(vocabulary.load().pieces)
