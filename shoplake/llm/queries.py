@@ -53,7 +53,7 @@ def op5_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
 
 def op6_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     spans = F.transform("removed", lambda r: F.format_string("%d-%d:%d@%d", r.start, r.stop, r.kept_id, r.kept_start))
-    return substring_dedup(_documents(spark, sf)).select(
+    return substring_dedup(_documents(spark, sf), "sentence").select(
         "doc_id", "text", "n_removed", F.array_join(spans, ",").alias("removed")
     )
 

@@ -246,6 +246,31 @@ def test_substring_dedup_equals_a_scan(spark, docs, texts, odd, empty):
     assert substring_dedup.substring_dedup(empty).count() == 0
 
 
+def test_substring_dedup_finds_passages_inside_lines(spark, odd):
+    passage = "Ten green bottles are standing on the old wall. Yes. If one of them should fall, nine of them are left!"
+    rows = [
+        (1, f"Alpha begins. {passage} Beta ends."),
+        (2, f"Gamma is unlike. Yes. Delta goes on. {passage}\nA second line."),
+        (3, f"cut in the middle {passage.upper()} Omega.  {passage}"),
+        (4, f"{passage} Only this is new.\nA second line.\nYes."),
+        (None, "日本語の長い文章がここに書かれていて、それは五十文字を超えるほど長く続いていて、まだまだ終わりませんから、もう少し読んでください。新しい文。"),
+        (5, "別の文。日本語の長い文章がここに書かれていて、それは五十文字を超えるほど長く続いていて、まだまだ終わりませんから、もう少し読んでください。"),
+    ]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in substring_dedup.substring_dedup(table, "sentence").collect()}
+    assert got[1].text == rows[0][1] and got[None].text == rows[4][1] and got[5].text == "別の文。"
+    assert got[2].text == "Gamma is unlike. Yes. Delta goes on. \nA second line."
+    # A sentence that does not begin with the passage is its own; what follows it is found.
+    assert got[3].text == f"cut in the middle {passage.split('. ')[0].upper()}. Omega.  "
+    assert got[4].text == "Only this is new.\nYes."
+    for d, r in got.items():
+        text = dict(rows)[d]
+        for s in r.removed:
+            kept = substring_dedup.normalised(dict(rows)[s.kept_id][s.kept_start :])
+            assert kept.startswith(substring_dedup.normalised(text[s.start : s.stop]))
+    assert {r.doc_id: r.text for r in substring_dedup.substring_dedup(odd, "sentence").collect()}[7] == "one\ntwo\n"
+
+
 def plain_classes(texts, n, percent):
     sets = {}
     for d, t in texts.items():
