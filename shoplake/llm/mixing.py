@@ -146,7 +146,9 @@ def _draw(docs: DataFrame, plans: list[Source], per_shard: int, seed: int) -> Da
     return placed.mapInPandas(ordinals, "shard long, number int, ordinal long")
 
 
-def mix(docs: DataFrame, size: Column, block: int = 512, per_shard: int = 1 << 16, seed: int = 7) -> tuple[DataFrame, DataFrame]:
+def mix(
+    docs: DataFrame, size: Column, block: int = 512, per_shard: int = 1 << 16, seed: int = 7, row: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Mix ``docs`` (doc_id, source, ``size`` words) to the sources' target weights.
 
     Returns the documents (row, doc_id, source, size, source_size, target) and the
@@ -160,13 +162,15 @@ def mix(docs: DataFrame, size: Column, block: int = 512, per_shard: int = 1 << 1
 
     Empty and null texts and empty sources take no part but keep their row; equal
     ids are separate rows; an empty table gives empty results. The same rows give
-    the same mixture. Only the sources' sums (at most 100,000) reach the driver.
+    the same mixture. ``row`` names numbers that the rows have already, each its
+    own. Only the sources' sums (at most 100,000) reach the driver.
     """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.coalesce(size, F.lit(0)).cast("long").alias("size"),
-    ).withColumn("row", F.monotonically_increasing_id())
+        (F.monotonically_increasing_id() if row is None else row).alias("row"),
+    )
     rows = materialize(rows, "sizes")
     plans = sources(rows, block)
     spark = docs.sparkSession
@@ -224,17 +228,18 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     ``text`` holds the words that the pass takes, with the white space between
     them; a text that is taken whole is unchanged. ``n_chars`` follows the text.
-    Rows without words are not part of a mixture. Repeated ids must be told apart
-    before; rows that share one are mixed as one text after another.
+    Rows without words are not part of a mixture. Rows that share an id, null
+    included, are mixed each by itself: the texts are stored once with row numbers.
     """
-    numbered, mixture = mix(docs, F.regexp_count("text", F.lit(WORD)), **options)
-    spans = mixture.join(numbered.select("row", "doc_id", "size"), "row").groupBy("doc_id", "copy").agg(
+    stored = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "mixed-texts")
+    numbered, mixture = mix(stored, F.regexp_count("text", F.lit(WORD)), row=F.col("_row"), **options)
+    spans = mixture.join(numbered.select("row", "size"), "row").groupBy(F.col("row").alias("_mixed"), "copy").agg(
         F.sum("words").alias("took"),
         F.max("size").alias("of"),
         F.sort_array(F.collect_list(F.struct("first_word", "words"))).alias("spans"),
     )
     cut = F.pandas_udf(_cut, "string")
-    met = docs.join(spans.withColumnRenamed("doc_id", "_mixed"), F.col("doc_id").cast("long").eqNullSafe(F.col("_mixed")))
+    met = stored.join(spans, F.col("_row") == F.col("_mixed"))
     text = F.when(F.col("took") == F.col("of"), F.col("text")).otherwise(cut("text", "spans"))
     met = met.withColumn("text", text).select(*docs.columns)
     return met.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else met

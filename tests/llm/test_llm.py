@@ -186,6 +186,25 @@ def test_mixed_documents_hold_the_words_taken(spark, odd, docs, texts, empty):
     assert mixing.mixed_documents(odd).columns == odd.columns and mixing.mixed_documents(empty).count() == 0
 
 
+def test_mixed_documents_tell_rows_of_one_id_apart(spark):
+    """Different texts under one id and under null ids, of equal and unequal sizes."""
+    sizes = [(1, 10), (1, 20), (1, 20), (None, 10), (None, 20), (2, 7), (None, 20)]
+    rows = [(d, " ".join(f"t{i}w{j}" for j in range(n)), "en", "abc"[i % 3], 0, 0) for i, (d, n) in enumerate(sizes)]
+    table = spark.createDataFrame(rows, SCHEMA)
+    target = {p.name: p.target for p in mixing.sources(table.select("source", F.size(F.split("text", " ")).alias("size")), 4)}
+    by_text, by_source = Counter(), Counter()
+    for r in mixing.mixed_documents(table, block=4).collect():
+        found = WORD.findall(r.text)
+        of = {w.split("w")[0] for w in found}
+        assert len(of) == 1 and len(set(found)) == len(found)
+        i = int(of.pop()[1:])
+        assert (r.doc_id, r.source) == (rows[i][0], rows[i][3]) and set(found) <= set(rows[i][1].split())
+        by_text[i] += len(found)
+        by_source[r.source] += len(found)
+    assert all(n <= 3 * sizes[i][1] for i, n in by_text.items())
+    assert all(abs(by_source[name] - aim) <= 0.5 for name, aim in target.items())
+
+
 # --- duplicates ------------------------------------------------------------------------
 
 
