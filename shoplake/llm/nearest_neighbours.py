@@ -18,7 +18,7 @@ from shoplake.storage import materialize
 #: Vectors sampled to set the width of a hash cell; queries that set the number of probes.
 FIT_VECTORS, FIT_QUERIES = 2_000, 100
 
-#: Recall that the calibration must reach on its queries, and the most probes it may take for it.
+#: Recall that the calibration must reach on its queries, and the most probes of a table: if these are too few, cells are made larger.
 TARGET, MOST_PROBES = 0.97, 1 << 14
 
 #: Vectors of an index block and queries of a probe block.
@@ -36,6 +36,16 @@ class Hashing:
     shift: np.ndarray  # table, function
     width: np.ndarray  # table, function
 
+    @property
+    def exact(self) -> bool:
+        """No functions: all vectors are in one bucket."""
+        return self.lines.shape[1] == 0
+
+    def fewer(self, functions: int) -> Hashing:
+        """The first ``functions`` of each table; none at all need one table only."""
+        tables = len(self.lines) if functions else 1
+        return Hashing(*(a[:tables, :functions] for a in (self.lines, self.shift, self.width)))
+
     def places(self, x: np.ndarray, table: int) -> np.ndarray:
         return (x @ self.lines[table].T + self.shift[table]) / self.width[table]
 
@@ -55,6 +65,8 @@ class Hashing:
         distance from the query's place; perturbations are tuples of steps, visited
         from the least sum of these on.
         """
+        if self.exact:
+            return self.key(np.zeros((1, 0)))
         place = self.places(x[None, :], table)[0]
         home = np.floor(place)
         steps, costs = [], []
@@ -118,14 +130,16 @@ def fit(vectors: DataFrame, dimension: int, tables: int, seed: int) -> Hashing:
     return Hashing(lines, rng.uniform(0, 1, (tables, functions)) * width, width)
 
 
-def calibrate(vectors: DataFrame, queries: DataFrame, hashing: Hashing, k: int) -> int:
-    """Probes per table with which the sampled queries find enough of their true neighbours.
+def calibrate(vectors: DataFrame, queries: DataFrame, hashing: Hashing, k: int) -> tuple[Hashing, int]:
+    """Functions, and probes per table with which the sampled queries find enough of their true neighbours.
 
     The sample is bounded; its true neighbours come from all vectors, in blocks.
+    Where `MOST_PROBES` do not reach the target, every table has two functions less
+    until they do; without functions each query meets all vectors.
     """
     sample = queries.orderBy(F.xxhash64("query_id")).limit(FIT_QUERIES).collect()
     if not sample:
-        return 1
+        return hashing, 1
     ids, x = [r["query_id"] for r in sample], np.array([r["v"] for r in sample], dtype=np.float64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
@@ -143,16 +157,23 @@ def calibrate(vectors: DataFrame, queries: DataFrame, hashing: Hashing, k: int)
     held = vectors.select("v", F.explode("ids").alias("vec_id"))
     true = held.join(F.broadcast(near), "vec_id").collect()
     place = {q: i for i, q in enumerate(ids)}
-    keys = [[hashing.probes(q, t, MOST_PROBES) for t in range(len(hashing.lines))] for q in x]
-    ranks = []
-    for r in true:
-        v = np.array(r["v"], dtype=np.float64)[None, :]
-        found = [MOST_PROBES]
-        for t, order in enumerate(keys[place[r["query_id"]]]):
-            at = np.flatnonzero(order == hashing.key(np.floor(hashing.places(v, t)))[0])
-            found.extend(at[:1] + 1)
-        ranks.append(min(found))
-    return int(np.sort(ranks)[int(np.ceil(TARGET * len(ranks))) - 1]) if ranks else 1
+    if not true:
+        return hashing, 1
+    while not hashing.exact:
+        keys = [[hashing.probes(q, t, MOST_PROBES) for t in range(len(hashing.lines))] for q in x]
+        ranks = []
+        for r in true:
+            v = np.array(r["v"], dtype=np.float64)[None, :]
+            found = [MOST_PROBES + 1]
+            for t, order in enumerate(keys[place[r["query_id"]]]):
+                at = np.flatnonzero(order == hashing.key(np.floor(hashing.places(v, t)))[0])
+                found.extend(at[:1] + 1)
+            ranks.append(min(found))
+        probes = int(np.sort(ranks)[int(np.ceil(TARGET * len(ranks))) - 1])
+        if probes <= MOST_PROBES:
+            return hashing, probes
+        hashing = hashing.fewer(max(hashing.lines.shape[1] - 2, 0))
+    return hashing, 1
 
 
 def nearest(rows: DataFrame, is_query: Column, k: int = 10, tables: int = 2, seed: int = 11) -> DataFrame:
@@ -168,7 +189,8 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 10, tables: int = 2, see
 
     A vector is stored once a table; a query visits buckets in the order of their
     estimated success, as many as a bounded calibration found to reach the target
-    recall. Buckets of any size are cut into blocks, and the tasks that join blocks
+    recall, among larger buckets if the most that a query may visit do not reach it,
+    and in the end among all vectors. Buckets of any size are cut into blocks, and the tasks that join blocks
     of probes with blocks of vectors return the nearest only.
     """
     usable = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("v"), is_query.alias("asks"))
@@ -186,8 +208,8 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 10, tables: int = 2, see
     vectors = materialize(vectors.withColumn("first", F.col("ids")[0]), "vectors")
     queries = usable.where("asks").select(F.col("vec_id").alias("query_id"), "v").dropDuplicates(["query_id"])
     queries = materialize(queries, "queries")
-    hashing = fit(vectors, dimension, tables, seed)
-    probes = calibrate(vectors, queries, hashing, k)
+    hashing, probes = calibrate(vectors, queries, fit(vectors, dimension, tables, seed), k)
+    tables = len(hashing.lines)
 
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,7 +234,10 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 10, tables: int = 2, see
     blocks = blocks.groupBy("table", "key", "block").agg(F.collect_list(F.struct("v", "ids")).alias("held"))
     asking = _blocks(asked, "query_id", PROBE_BLOCK).join(queries, "query_id")
     asking = asking.groupBy("table", "key", "block").agg(F.collect_list(F.struct("query_id", "v")).alias("asking"))
-    met = asking.drop("block").join(blocks.drop("block"), ["table", "key"]).select("asking", "held")
+    if hashing.exact:  # every block of queries with every block of vectors, which a join by the one key would do in one task
+        met = asking.select("asking").crossJoin(blocks.select("held"))
+    else:
+        met = asking.drop("block").join(blocks.drop("block"), ["table", "key"]).select("asking", "held")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: list[pd.DataFrame] = []

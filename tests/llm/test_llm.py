@@ -139,6 +139,25 @@ def test_nearest_neighbours_recall_and_distances(spark, sf_dir):
     assert hits >= 0.9 * 10 * len(found)
 
 
+@pytest.mark.parametrize(("most", "bucket", "exact"), [(1, 512, True), (400, 4, False)])
+def test_nearest_neighbours_reach_recall_when_probes_run_out(spark, sf_dir, monkeypatch, most, bucket, exact):
+    monkeypatch.setattr(nearest_neighbours, "MOST_PROBES", most)
+    monkeypatch.setattr(nearest_neighbours, "BUCKET", bucket)
+    used, calibrate = [], nearest_neighbours.calibrate
+    monkeypatch.setattr(nearest_neighbours, "calibrate", lambda *a: used.append(calibrate(*a)) or used[-1])
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    x = {r.vec_id: np.array(r.embedding, dtype=float) for r in rows.collect()}
+    found = defaultdict(list)
+    for r in nearest_neighbours.nearest(rows, F.col("vec_id") % 20 == 0).collect():
+        found[r.query_id].append(r.vec_id)
+    hits = 0
+    for q, got in found.items():
+        near = sorted((float(np.sqrt(((x[q] - v) ** 2).sum())), i) for i, v in x.items() if i != q)[:10]
+        hits += len({i for _, i in near} & set(got))
+    assert len(found) == sum(v % 20 == 0 for v in x) and hits >= 0.9 * 10 * len(found)
+    assert used[0][0].exact == exact
+
+
 def test_nearest_neighbours_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 1.0]), (4, [0.0, 0.0]), (5, None)]
