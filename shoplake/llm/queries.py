@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoplake.llm import oracle
 from shoplake.llm.exact_dedup import exact_dedup
 from shoplake.llm.jaccard_join import jaccard_join
 from shoplake.llm.lm_scoring import lm_score
+from shoplake.llm.manifest import folded, leaf_digest, manifest, siblings
 from shoplake.llm.mixing import taken
 from shoplake.llm.nearest_neighbours import nearest
 from shoplake.llm.quality_classifier import keeps, score
@@ -21,6 +23,10 @@ from shoplake.llm.token_counts import token_counts
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Letters that are lower-cased.
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
@@ -80,6 +86,22 @@ def op10_subword_encoding(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Proofs of all documents, checked against leaves of which some were tampered with."""
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    altered = F.when(tampered, leaf_digest(F.translate("text", UPPER, UPPER.lower())))
+    proofs = manifest(_documents(spark, sf), {"altered": altered}).proofs()
+    seen = F.coalesce("what.altered", "digest")
+    return proofs.select(
+        "what.doc_id",
+        F.col("digest").alias("leaf"),
+        "subroot",
+        "root",
+        F.sha2(F.array_join(siblings(F.col("path")), ""), 256).alias("proof_sha256"),
+        folded(seen, F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_nearest_neighbours": op2_nearest_neighbours,
@@ -91,14 +113,10 @@ QUERIES: dict[str, Query] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_sharding": op9_sharding,
     "op10_subword_encoding": op10_subword_encoding,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {
-    "op4_exact_dedup": """
-select doc_id, max(doc_id) over (partition by body) as keep_id,
-  count(*) over (partition by body) as group_size,
-  doc_id = max(doc_id) over (partition by body) as kept, sha256(body) as text_sha256
-from (select cast(doc_id as bigint) as doc_id,
-        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as body
-      from documents)""",
+    "op4_exact_dedup": oracle.EXACT_DEDUP,
+    "op13_merkle_manifest": oracle.MERKLE,
 }
