@@ -76,3 +76,37 @@ from g{high} g join leaves l using (rid) join sub on sub.source is not distinct
 
 
 MERKLE = _merkle()
+
+TRIE = f"""
+with turns as (
+  select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos
+  from conversations where conv_id is not null),
+heads as (select distinct c, c - c % 20 as base, {crc32('c')} % 4 as h from turns),
+joint as (
+  select heads.c, 0 as part, turns.pos, role, text from heads join turns on turns.c = heads.base and turns.pos <= h
+  union all
+  select heads.c, 1, turns.pos, role, text from heads join turns on turns.c = heads.c and turns.pos > h),
+path as (
+  select c, row_number() over w as depth, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) as words,
+    list([role, text]) over (w rows between unbounded preceding and current row) as prefix
+  from joint window w as (partition by c order by part, pos)),
+ways as (
+  select c, depth, words, sha256(cast(to_json(prefix) as varchar)) as node,
+    coalesce(lag(sha256(cast(to_json(prefix) as varchar))) over (partition by c order by depth), '') as above
+  from path union all select c, 0, 0, '', null from heads),
+nodes as (
+  select node, depth, any_value(above) as above, any_value(words) as words, min(c) as conv_id, count(*) as n_convs
+  from ways group by node, depth),
+lasts as (select c, arg_max(node, depth) as node from ways group by c),
+ends as (select node, string_agg(cast(c as varchar), ',' order by c) as ids from lasts group by node),
+kids as (select above as node, count(*) as kids from nodes where above is not null group by above),
+under as (
+  select top.node, count(*) filter (kids.kids is null) as n_leaves, sum((low.n_convs - 1) * low.words) as saved
+  from nodes low join ways reach on reach.c = low.conv_id and reach.depth <= low.depth
+    join nodes top on top.node = reach.node left join kids on kids.node = low.node
+  group by top.node)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(kids.kids, 0) as n_children, under.n_leaves,
+  cast(under.saved as bigint) as saved_tokens, sha256(coalesce(ends.ids, '')) as ends_sha256
+from nodes n left join nodes p on p.node = n.above left join kids on kids.node = n.node
+  join under on under.node = n.node left join ends on ends.node = n.node"""

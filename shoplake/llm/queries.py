@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplake.llm import oracle
@@ -14,11 +14,14 @@ from shoplake.llm.lm_scoring import lm_score
 from shoplake.llm.manifest import folded, leaf_digest, manifest, siblings
 from shoplake.llm.mixing import taken
 from shoplake.llm.nearest_neighbours import nearest
+from shoplake.llm.ordering import numbered
+from shoplake.llm.prefix_trie import trie_nodes
 from shoplake.llm.quality_classifier import keeps, score
 from shoplake.llm.sharding import shard
 from shoplake.llm.subword_encoding import decode, encode
 from shoplake.llm.substring_dedup import substring_dedup
 from shoplake.llm.token_counts import token_counts
+from shoplake.storage import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,6 +89,41 @@ def op10_subword_encoding(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _crc(number: str) -> Column:
+    return F.crc32(F.col(number).cast("string").cast("binary"))
+
+
+def rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns (conv_id, pos from 1, role, text) and ids of the conversations that begin with another's turns.
+
+    Conversation c begins with the first h turns of c - c % 20, h being crc32(c) % 4, and
+    goes on with its own after its first h. Turns ascend, null first; equal ones by role and
+    text. Rows without a conv_id belong to no conversation.
+    """
+    rows = conversations.where("conv_id is not null").select(
+        F.col("conv_id").cast("long").alias("conv_id"),
+        F.col("turn").cast("long").alias("turn"),
+        *[F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")],
+        F.monotonically_increasing_id().alias("row"),
+    )
+    placed = materialize(numbered(materialize(rows, "turns"), ["conv_id"], ["turn", "role", "text", "row"], "at", "size"), "turns-placed")
+    sizes = placed.where("at = 0").select("conv_id", "size")
+    head = F.pmod(_crc("conv_id"), F.lit(4))
+    heads = sizes.select("conv_id", head.alias("h"), (F.col("conv_id") - F.col("conv_id") % 20).alias("base"))
+    bases = sizes.select(F.col("conv_id").alias("base"), F.col("size").alias("given"))
+    heads = heads.join(bases, "base", "left").withColumn("given", F.least("h", F.coalesce("given", F.lit(0))))
+    heads = materialize(heads, "turn-heads")
+    own = placed.join(heads, "conv_id").where("at >= h").withColumn("pos", F.col("given") + F.col("at") - F.col("h") + 1)
+    early = placed.where("at < 3").withColumnRenamed("conv_id", "base").drop("size")
+    lent = early.join(heads, "base").where("at < h").withColumn("pos", F.col("at") + 1)
+    columns = ["conv_id", F.col("pos").cast("long").alias("pos"), "role", "text"]
+    return materialize(own.select(*columns).unionByName(lent.select(*columns)), "turns-rebuilt"), sizes.select("conv_id")
+
+
+def op12_conversation_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return trie_nodes(*rebuilt(spark.read.parquet(f"{sf}/conversations.parquet")))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     """Proofs of all documents, checked against leaves of which some were tampered with."""
     tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
@@ -113,10 +151,12 @@ QUERIES: dict[str, Query] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_sharding": op9_sharding,
     "op10_subword_encoding": op10_subword_encoding,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": oracle.EXACT_DEDUP,
+    "op12_conversation_trie": oracle.TRIE,
     "op13_merkle_manifest": oracle.MERKLE,
 }
