@@ -110,3 +110,29 @@ select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(kids
   cast(under.saved as bigint) as saved_tokens, sha256(coalesce(ends.ids, '')) as ends_sha256
 from nodes n left join nodes p on p.node = n.above left join kids on kids.node = n.node
   join under on under.node = n.node left join ends on ends.node = n.node"""
+
+DECONTAMINATION = f"""
+with texts as (
+  select row_number() over () as rid, doc_id,
+    coalesce(regexp_extract_all({LOWERED('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) as words
+  from documents),
+items as (
+  select item_id, regexp_extract_all({LOWERED('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as words
+  from benchmark where text is not null),
+windows as (
+  select distinct item_id, least(len(words), 10) as size, array_to_string(words[i:i + 9], ' ') as phrase
+  from (select item_id, words, unnest(generate_series(1, greatest(len(words) - 9, 1))) as i from items where len(words) > 0)),
+sizes as (select distinct size from windows),
+places as (
+  select rid, size, i, array_to_string(words[i:i + size - 1], ' ') as phrase
+  from (select rid, words, size, unnest(generate_series(1, len(words) - size + 1)) as i
+        from texts, sizes where len(words) >= size)),
+met as (select p.rid, p.i, p.size, w.item_id from places p join windows w on w.size = p.size and w.phrase = p.phrase),
+hits as (
+  select rid, count(distinct k) as n_hit from (select rid, unnest(generate_series(i, i + size - 1)) as k from met) group by rid),
+named as (
+  select rid, count(*) as n_items, string_agg(name, ',' order by name) as names
+  from (select distinct rid, cast(item_id as varchar) as name from met where item_id is not null) group by rid)
+select doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from texts left join hits using (rid) left join named using (rid)"""

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplake.llm import oracle
+from shoplake.llm.decontamination import decontaminate
 from shoplake.llm.exact_dedup import exact_dedup
 from shoplake.llm.jaccard_join import jaccard_join
 from shoplake.llm.lm_scoring import lm_score
@@ -89,6 +90,18 @@ def op10_subword_encoding(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate(_documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def _crc(number: str) -> Column:
     return F.crc32(F.col(number).cast("string").cast("binary"))
 
@@ -151,12 +164,14 @@ QUERIES: dict[str, Query] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_sharding": op9_sharding,
     "op10_subword_encoding": op10_subword_encoding,
+    "op11_decontamination": op11_decontamination,
     "op12_conversation_trie": op12_conversation_trie,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": oracle.EXACT_DEDUP,
+    "op11_decontamination": oracle.DECONTAMINATION,
     "op12_conversation_trie": oracle.TRIE,
     "op13_merkle_manifest": oracle.MERKLE,
 }
