@@ -171,6 +171,7 @@ def inserted(trie: DataFrame | None, paths: DataFrame, batch: Column) -> DataFra
     above = nodes.select((F.col("depth") - 1).alias("depth"), F.col("pa").alias("a"), F.col("pb").alias("b"))
     kids = above.groupBy(*NODE).agg(F.count("*").alias("kids"))
     marked = nodes.join(kids, NODE, "left").where("stop or kids > 1").select(*NODE, "rep")
+    marked = materialize(marked, "trie-marked")
     along = Window.partitionBy("conv", "l").orderBy("depth")
     made = (
         new.join(marked, NODE)
@@ -260,7 +261,7 @@ def trie_nodes(turns: DataFrame, members: DataFrame) -> DataFrame:
     bottoms = trie.select(F.col("hi").alias("depth"), "a", "b")
     visits = paths.select("conv", *NODE, "n", "weight", "total", "upto").join(bottoms, NODE)
     visits = materialize(visits, "visits")
-    least = visits.groupBy(*NODE).agg(F.min("conv").alias("least"))
+    least = materialize(visits.groupBy(*NODE).agg(F.min("conv").alias("least")), "least-visitors")
     # Words of the part of a path that a conversation of smaller id has too.
     common = F.max(F.when(F.col("least") < F.col("conv"), F.col("upto")))
     shared = visits.join(least, NODE).groupBy("conv").agg(F.coalesce(common, zero).alias("shared"))
