@@ -244,6 +244,34 @@ ORACLE: dict[str, str] = {
         "select * replace (case when o_orderpriority = '5-LOW' then o_totalprice + 1 "
         "else o_totalprice end as o_totalprice) from orders"
     ),
+    "merge_table": _query(_MERGED),
+    "replace_table": _query(
+        "select 'before' as state, * from old_state union all select 'after', * from new_state "
+        "union all select 'before again', * from old_state"
+    ),
+    "compaction": _query("select * from s_pos"),
+    "change_feed_payload": _query("""
+, payload_rows as (
+  select case when cast(event_id as bigint) % 5 > 0 then store_id end as store_id, event_id, event_type, raw_payload from iot),
+old_rows as (select store_id, event_id, event_type, raw_payload from payload_rows where event_type <> 'click'),
+new_rows as (
+  select store_id, event_id, event_type,
+    case when cast(event_id as bigint) % 7 = 0 then replace(raw_payload, '"firmware"', '"release"') else raw_payload end as raw_payload
+  from payload_rows where event_type <> 'view'),
+changed as (
+  select 'DELETE' as action, * from (select * from old_rows except all select * from new_rows)
+  union all select 'INSERT', * from (select * from new_rows except all select * from old_rows)),
+per_store as (
+  select store_id, count(*) filter (action = 'DELETE') as gone, count(*) filter (action = 'INSERT') as came from changed group by store_id),
+updates as (
+  select store_id, action, case action when 'DELETE' then gone else came end as n,
+    case when store_id is null then 0 else least(gone, came) end as pairs
+  from per_store, (values ('DELETE'), ('INSERT')) a(action))
+select 'event_id' as counted_by, event_id as id, coalesce(json_extract_string(raw_payload, '$.release'), '-') as detail, action,
+  count(*) as row_count
+from changed group by event_id, detail, action
+union all select 'store_id', store_id, 'true', action, pairs from updates where pairs > 0
+union all select 'store_id', store_id, 'false', action, n - pairs from updates where n > pairs"""),
     "bronze_pos": _query("select * from pos"),
     "bronze_iot": _query("select * exclude (raw_payload) from iot"),
     "bronze_events": _query(

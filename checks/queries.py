@@ -17,6 +17,7 @@ from shoplake.schemas import ERP_BRONZE, ERP_SILVER, IOT_BRONZE, SENSOR_SILVER,
 from shoplake.sources import read_csv_pos, read_event_payloads, read_json_events, read_parquet_erp
 from shoplake.storage import materialize, scratch_path, write_table
 from shoplake.streaming import backfill, ingest_stream, merge_stream, read_merged
+from shoplake.tables import VersionedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -281,6 +282,71 @@ def merge_append(spark: SparkSession, sf: str) -> DataFrame:
     return ops.merge(old, ops.append_feed(again), ["o_orderkey"])
 
 
+def merge_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Updates, inserts and deletes, each DELETE delivered three times, applied to a stored table."""
+    old, new = _order_states(spark, sf)
+    feed = ops.change_feed(old, new, ["o_orderkey"])
+    again = feed.where(f"{ops.ACTION} = 'DELETE' and not {ops.IS_UPDATE}")
+    changes = materialize(feed.unionByName(again).unionByName(again), "changes")
+    table = VersionedTable(spark, scratch_path(spark, "merge-table"), old.schema, ["o_orderkey"])
+    table.replace(old)
+    table.merge(changes)
+    return table.read()
+
+
+def replace_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A table that is read, replaced in full, and read again: the first reader keeps its version."""
+    old, new = _order_states(spark, sf)
+    table = VersionedTable(spark, scratch_path(spark, "replace-table"), old.schema)
+    table.replace(old)
+    before = table.read()
+    table.replace(new)
+    states = {"before": before, "after": table.read(), "before again": table.read(1)}
+    named = [df.select(F.lit(name).alias("state"), "*") for name, df in states.items()]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
+def compaction(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales in six waves, each delivered again with the next one, then compacted."""
+    rows = stored_silver(spark, sf, "pos")
+    table = VersionedTable(spark, scratch_path(spark, "compaction"), rows.schema, ["transaction_id"])
+    wave = F.col("transaction_id").cast("bigint") % 6
+    for i in range(6):
+        table.insert_absent(rows.where(wave.isin(i, i - 1)), loader="waves", batch=i)
+        table.compact(max_segments=2)
+    table.compact()
+    return _plain(table.read())
+
+
+def change_feed_payload(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes of events with a payload column, stores as keys: many rows to a key, and none for some.
+
+    Which of a store's rows pair up is free, so rows are counted by event and action, and
+    updates by store.
+    """
+    rows = feeds.feed(spark, sf, feeds.IOT).select(
+        F.expr("case when cast(event_id as bigint) % 5 > 0 then store_id end").alias("store_id"),
+        "event_id",
+        "event_type",
+        "raw_payload",
+    )
+    renamed = F.replace("raw_payload", F.lit('"firmware"'), F.lit('"release"'))
+    moved = rows.withColumn("raw_payload", F.when(F.col("event_id").cast("bigint") % 7 == 0, renamed).otherwise(F.col("raw_payload")))
+    old, new = (
+        df.where(F.col("event_type") != left_out).withColumn("raw_payload", F.parse_json("raw_payload"))
+        for df, left_out in ((rows, "click"), (moved, "view"))
+    )
+    feed = materialize(ops.change_feed(old, new, ["store_id"]), "payload-changes")
+    release = F.variant_get("raw_payload", "$.release", "string")
+    by_event = feed.groupBy("event_id", F.coalesce(release, F.lit("-")).alias("detail"), ops.ACTION).agg(F.count("*").alias("row_count"))
+    by_store = feed.groupBy("store_id", F.col(ops.IS_UPDATE).cast("string").alias("detail"), ops.ACTION).agg(F.count("*").alias("row_count"))
+    parts = [
+        df.select(F.lit(by).alias("counted_by"), F.col(by).alias("id"), "detail", F.col(ops.ACTION).alias("action"), "row_count")
+        for by, df in (("event_id", by_event), ("store_id", by_store))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 # --- feeds through files ---------------------------------------------------------------
 
 
@@ -420,7 +486,8 @@ def handover(spark: SparkSession, sf: str) -> DataFrame:
     early = F.col("store_region").isin("ASIA", "EUROPE")
     _write_pos_files(rows.where(early), f"{work}/src")
     _ingest(spark, "pos", f"{work}/src", work)
-    backfill(spark.read.schema(pos_bronze()).parquet(f"{work}/raw"), f"{work}/silver", plans.silver_pos)
+    raw = spark.read.schema(pos_bronze()).parquet(f"{work}/raw")
+    backfill(raw, f"{work}/silver", plans.silver_pos, ["transaction_id"])
     follow("merged")
     _write_pos_files(rows.where(~early), f"{work}/src")
     _ingest(spark, "pos", f"{work}/src", work)
@@ -503,6 +570,10 @@ QUERIES: dict[str, Query] = {
         merge_full,
         merge_shuffled,
         merge_append,
+        merge_table,
+        replace_table,
+        compaction,
+        change_feed_payload,
         bronze_pos,
         bronze_iot,
         bronze_events,

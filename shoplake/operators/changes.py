@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, StringType
+from pyspark.sql.types import ArrayType, DataType, IntegralType, MapType, StringType, StructType, VariantType
 
 from shoplake.operators.lookup import BROADCAST_BYTES, all_set, byte_size, lookup
+from shoplake.storage import materialize
 
 # Change metadata: INSERT or DELETE, and whether the row is half of an update.
 ACTION = "_action"
@@ -18,34 +17,111 @@ IS_UPDATE = "_is_update"
 INSERT = "INSERT"
 DELETE = "DELETE"
 
+# Rows that are counted in sequence, or copies that are made of a row, at once.
+_CHUNK_ROWS = 4_000
+
 
 def append_feed(df: DataFrame) -> DataFrame:
     """Rows added to an append-only table, as changes."""
     return df.withColumns({ACTION: F.lit(INSERT), IS_UPDATE: F.lit(False)})
 
 
-def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Changes that turn ``old`` into ``new``; both hold one row per key.
+def _complex(kind: DataType) -> bool:
+    """Whether values of the type hold a variant or a map, which can be neither grouped nor compared."""
+    if isinstance(kind, StructType):
+        return any(_complex(f.dataType) for f in kind)
+    if isinstance(kind, ArrayType):
+        return _complex(kind.elementType)
+    return isinstance(kind, VariantType | MapType)
+
 
-    An update is a pair: DELETE of the old row and INSERT of the new one, both
-    marked as parts of an update.
+def canonical(value: Column, kind: DataType) -> Column:
+    """A form of the value that can be grouped and is equal for equal values.
+
+    A variant becomes the digest of its text, whose fields are in order of their names; a
+    map becomes its entries in order of their keys. NULL stays NULL.
     """
-    columns = old.columns
-    before = old.select(F.struct(*columns).alias("_old"))
-    after = new.select(F.struct(*columns).alias("_new"))
-    same_key = [F.col(f"_old.{k}").eqNullSafe(F.col(f"_new.{k}")) for k in keys]
-    paired = before.join(after, reduce(and_, same_key), "full_outer")
-    changed = paired.where(~F.col("_old").eqNullSafe(F.col("_new")))
-    is_update = F.col("_old").isNotNull() & F.col("_new").isNotNull()
-
-    def change(side: str, action: str) -> Column:
-        row = F.struct(
-            F.lit(action).alias(ACTION), is_update.alias(IS_UPDATE), F.col(side).alias("row")
-        )
-        return F.when(F.col(side).isNotNull(), row)
+    if not _complex(kind):
+        return value
+    if isinstance(kind, VariantType):
+        return F.sha2(F.to_json(value), 256)
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda x: canonical(x, kind.elementType))
+    if isinstance(kind, MapType):
+        entry = lambda e: F.struct(canonical(e["key"], kind.keyType).alias("k"), canonical(e["value"], kind.valueType).alias("v"))
+        return F.array_sort(F.transform(F.map_entries(value), entry))
+    fields = [canonical(value[f.name], f.dataType).alias(f"f{i}") for i, f in enumerate(kind)]
+    return F.when(value.isNotNull(), F.struct(*fields))
+
+
+def _earlier(rows: DataFrame, group: Sequence[str], order: Sequence[str], amount: str, name: str) -> DataFrame:
+    """``rows`` with ``name``: the sum of ``amount`` over the group's rows before this one.
+
+    The order is by chunk, a hash of ``order``, then by ``order``. Only one sum per
+    group and chunk is added up in sequence, so a large group covers many tasks.
+    """
+    chunks = max(1, -(-rows.count() // _CHUNK_ROWS))
+    dealt = rows.withColumn("_chunk", F.pmod(F.xxhash64(*order), F.lit(chunks)))
+    sums = dealt.groupBy(*group, "_chunk").agg(F.sum(amount).alias("_sum"))
+    before = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.select(*group, "_chunk", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
+    within = Window.partitionBy(*group, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    here = F.coalesce(F.sum(amount).over(within), F.lit(0))
+    return dealt.join(bases, [*group, "_chunk"]).withColumn(name, F.col("_base") + here).drop("_base", "_chunk")
 
-    pair = F.array_compact(F.array(change("_old", DELETE), change("_new", INSERT)))
-    return changed.select(F.explode(pair).alias("c")).select("c.row.*", f"c.{ACTION}", f"c.{IS_UPDATE}")
+
+def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Changes that turn ``old`` into ``new``, both multisets of rows of any column types.
+
+    Rows that both sides hold equally often cancel out, also where a key is NULL or has
+    several rows. Of what is left of a key with n old and m new rows, min(n, m) pairs are
+    updates: DELETE of an old row and INSERT of a new one, both marked as parts of an
+    update. The others are plain DELETEs or INSERTs, as are all rows whose key is NULL.
+
+    Equal rows are counted before they are shuffled and no row meets another, so neither
+    copies nor a key with many rows pile up. Only changed rows are stored and paired.
+    """
+    keys, schema = list(keys), old.schema
+    names = [f"_c{i}" for i in range(len(schema))]
+    plain = [canonical(F.col(f.name), f.dataType).alias(n) for f, n in zip(schema, names)]
+    kept = {f"_v{i}": f.name for i, f in enumerate(schema) if _complex(f.dataType)}
+    held = [F.col(c).alias(v) for v, c in kept.items()]
+    both = old.select(*plain, *held, F.lit(-1).alias("_side")).union(new.select(*old.columns).select(*plain, *held, F.lit(1).alias("_side")))
+    net = both.groupBy(*names).agg(F.sum("_side").alias("_net"), *[F.first(v, ignorenulls=True).alias(v) for v in kept])
+    changed = materialize(net.where("_net <> 0").withColumn("_n", F.abs("_net")), "changed-rows")
+
+    ids = [names[schema.names.index(k)] for k in keys]
+    known, unknown = changed.where(all_set(ids)), changed.where(~all_set(ids))
+    gone = F.sum(F.when(F.col("_net") < 0, F.col("_n")).otherwise(0))
+    came = F.sum(F.when(F.col("_net") > 0, F.col("_n")).otherwise(0))
+    per_key = known.groupBy(*ids).agg(gone.alias("_gone"), came.alias("_came"))
+    met = known.join(per_key, ids).withColumn("_pairs", F.least("_gone", "_came"))
+    # Of most keys all rows that are left are in pairs, or none is.
+    partly = (F.col("_pairs") > 0) & (F.col("_gone") != F.col("_came"))
+    whole = met.where(~partly).withColumn("_updates", F.when(F.col("_pairs") > 0, F.col("_n")).otherwise(F.lit(0)))
+    rest = met.where(partly & (F.col("_n") > 0)).withColumn("_is_new", F.col("_net") > 0)
+    placed = _earlier(rest, [*ids, "_is_new"], names, "_n", "_before")
+    some = F.greatest(F.lit(0), F.least("_n", F.col("_pairs") - F.col("_before")))
+    columns = [*names, *kept, "_net", "_n"]
+    decided = (
+        whole.select(*columns, F.col("_updates").cast("long").alias("_updates"))
+        .unionByName(placed.select(*columns, some.cast("long").alias("_updates")))
+        .unionByName(unknown.select(*columns, F.lit(0).cast("long").alias("_updates")))
+    )
+    # Each row as often as it changed, in runs of bounded length.
+    runs = F.array(
+        F.struct(F.lit(True).alias("update"), F.col("_updates").alias("n")),
+        F.struct(F.lit(False).alias("update"), (F.col("_n") - F.col("_updates")).alias("n")),
+    )
+    one = decided.withColumn("_run", F.explode(F.filter(runs, lambda r: r["n"] > 0)))
+    step = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_run.n") - 1, F.lit(_CHUNK_ROWS).cast("long")))
+    part = one.withColumn("_from", step).withColumn("_many", F.least(F.lit(_CHUNK_ROWS), F.col("_run.n") - F.col("_from")))
+    copies = part.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_many").cast("int"))))
+    values = [F.col(n).alias(f.name) for f, n in zip(schema, names)]
+    for v, c in kept.items():
+        values[schema.names.index(c)] = F.col(v).alias(c)
+    action = F.when(F.col("_net") < 0, DELETE).otherwise(INSERT)
+    return copies.select(*values, action.alias(ACTION), F.col("_run.update").alias(IS_UPDATE))
 
 
 def insert_absent(
@@ -53,26 +129,29 @@ def insert_absent(
     changes: DataFrame,
     keys: Sequence[str],
     broadcast_limit: int = BROADCAST_BYTES,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Rows of ``changes`` whose key ``target`` does not hold.
 
     Rows of one key within ``changes`` stay together, and NULL keys are always
     absent. Only the key columns of ``target`` are read, and only row groups that
     can hold keys between the least and the greatest wanted one. While the wanted
-    keys are small they are broadcast and ``target`` is not shuffled.
+    keys are small they are broadcast and ``target`` is not shuffled. ``fits`` skips
+    measuring them, and their range, when the caller has done it.
     """
     keys = list(keys)
     wanted = changes.where(all_set(keys)).select(*keys).distinct()
-    ranged = [f.name for f in wanted.schema if isinstance(f.dataType, StringType | IntegralType)]
-    seen = wanted.agg(
-        byte_size(wanted).alias("_bytes"),
-        *[F.min(k).alias(f"_least_{k}") for k in ranged],
-        *[F.max(k).alias(f"_most_{k}") for k in ranged],
-    ).first()
     held = target.where(all_set(keys)).select(*keys)
-    for k in ranged:
-        held = held.where(F.col(k).between(F.lit(seen[f"_least_{k}"]), F.lit(seen[f"_most_{k}"])))
-    fits = seen["_bytes"] <= broadcast_limit
+    if fits is None:
+        ranged = [f.name for f in wanted.schema if isinstance(f.dataType, StringType | IntegralType)]
+        seen = wanted.agg(
+            byte_size(wanted).alias("_bytes"),
+            *[F.min(k).alias(f"_least_{k}") for k in ranged],
+            *[F.max(k).alias(f"_most_{k}") for k in ranged],
+        ).first()
+        for k in ranged:
+            held = held.where(F.col(k).between(F.lit(seen[f"_least_{k}"]), F.lit(seen[f"_most_{k}"])))
+        fits = seen["_bytes"] <= broadcast_limit
     if fits:
         present = held.join(F.broadcast(wanted), keys, "left_semi").distinct()
     else:
@@ -81,18 +160,17 @@ def insert_absent(
     return lookup(changes, marked, keys, fits=fits).where("_held is null").drop("_held")
 
 
-def merge(
+def updated(
     target: DataFrame,
     changes: DataFrame,
     keys: Sequence[str],
     broadcast_limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Apply ``changes`` to ``target``.
+    """``target`` with the updates and deletes of ``changes`` applied.
 
-    Matched INSERT halves of updates replace all non-key columns, unmatched
-    plain INSERTs are added, matched plain DELETEs remove; every other
-    combination does nothing. Several DELETEs of a key delete as one does; two
-    updates of a target row, or an update and a DELETE, are an error.
+    Matched INSERT halves of updates replace all non-key columns, matched plain DELETEs
+    remove. Several DELETEs of a key delete as one does; two updates of a target row, or an
+    update and a DELETE, are an error.
     """
     keys = list(keys)
     columns = target.columns
@@ -121,7 +199,7 @@ def merge(
     stays = F.when(F.col("_clash"), clash.cast("boolean")).otherwise(
         F.coalesce(~F.col("_gone"), F.lit(True))
     )
-    kept = (
+    return (
         lookup(target, per_key, keys, broadcast_limit=broadcast_limit)
         .where(stays)
         .select(
@@ -133,5 +211,18 @@ def merge(
             ]
         )
     )
-    fresh = changes.where(is_insert & ~F.col(IS_UPDATE)).select(*columns)
+
+
+def merge(
+    target: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    broadcast_limit: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Apply ``changes`` to ``target``: ``updated``, and unmatched plain INSERTs are added.
+
+    Every other combination does nothing.
+    """
+    kept = updated(target, changes, keys, broadcast_limit)
+    fresh = changes.where((F.col(ACTION) == INSERT) & ~F.col(IS_UPDATE)).select(*target.columns)
     return kept.unionByName(insert_absent(target, fresh, keys, broadcast_limit))

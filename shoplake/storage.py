@@ -49,6 +49,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the session's file systems; one that does not exist is passed over."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_table(
     df: DataFrame, path: str, mode: str = "overwrite", partition_by: str | None = None
 ) -> DataFrame:

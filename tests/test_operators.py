@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -287,3 +290,81 @@ def test_feed_applied_to_old_gives_new(spark, old, new):
     after = spark.createDataFrame([(k, *v) for k, v in new.items()], STATE)
     merged = merge(before, change_feed(before, after, ["k"]), ["k"])
     assert rows(merged) == rows(after)
+
+
+# --- change feed of multisets ----------------------------------------------------------
+
+
+def _plain_feed(old, new, key):
+    """Counts of (row, action, is_update) by the definition; which rows pair up is free."""
+    gone, came = Counter(old) - Counter(new), Counter(new) - Counter(old)
+    totals = {}
+    for k in {key(r) for r in [*gone, *came]}:
+        d = sum(n for r, n in gone.items() if key(r) == k)
+        i = sum(n for r, n in came.items() if key(r) == k)
+        totals[k] = (d, i, min(d, i) if k is not None else 0)
+    return gone, came, totals
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_change_feed_of_repeated_and_null_keys(spark, seed):
+    rng = random.Random(seed)
+
+    def table():
+        return [(rng.choice(["a", "b", "c", None]), rng.choice([1, 2, None]), rng.choice("xy")) for _ in range(rng.randrange(60))]
+
+    old, new = table(), table()
+    feed = change_feed(spark.createDataFrame(old, STATE), spark.createDataFrame(new, STATE), ["k"]).collect()
+    gone, came, totals = _plain_feed(old, new, lambda r: r[0])
+    assert Counter(tuple(r)[:3] for r in feed if r[ACTION] == "DELETE") == gone
+    assert Counter(tuple(r)[:3] for r in feed if r[ACTION] == "INSERT") == came
+    for k, (_, _, pairs) in totals.items():
+        for action in ("DELETE", "INSERT"):
+            assert sum(r.k == k and r[ACTION] == action and r[IS_UPDATE] for r in feed) == pairs
+
+
+def test_change_feed_of_a_table_and_itself_is_empty(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "x"), (None, 1, "x"), (None, 1, "x")], STATE)
+    assert change_feed(df, df, ["k"]).count() == 0
+
+
+def test_change_feed_of_payloads_and_maps(spark):
+    def state(rows_):
+        return spark.createDataFrame(rows_, "k int, j string, m map<string,int>, a array<struct<x:int>>").select(
+            "k", F.parse_json("j").alias("p"), "m", "a", F.struct(F.parse_json("j").alias("q"), F.lit(1).alias("one")).alias("s")
+        )
+
+    old = state([
+        (1, '{"a": 1, "b": [1, 2]}', {"x": 1, "y": 2}, [(1,)]),
+        (2, '{"a": 1}', {"x": 1}, None),
+        (3, None, None, []),
+        (4, '"t"', {}, [(None,)]),
+    ])
+    new = state([
+        (1, '{"b": [1, 2], "a": 1}', {"y": 2, "x": 1}, [(1,)]),
+        (2, '{"a": 2}', {"x": 1}, None),
+        (3, None, None, []),
+        (4, '"t"', {"z": 1}, [(None,)]),
+        (5, "null", None, None),
+    ])
+    feed = change_feed(old, new, ["k"])
+    assert feed.columns == [*old.columns, ACTION, IS_UPDATE] and feed.schema["p"].dataType == old.schema["p"].dataType
+    got = rows(feed.select("k", F.to_json("p"), F.to_json("s.q"), F.map_entries("m"), ACTION, IS_UPDATE))
+    pair = lambda n: [r[4:] for r in got if r[0] == n]
+    assert sorted(pair(2)) == sorted(pair(4)) == [("DELETE", True), ("INSERT", True)]
+    assert pair(5) == [("INSERT", False)] and len(got) == 5
+    assert {r[1] for r in got if r[0] == 2} == {r[2] for r in got if r[0] == 2} == {'{"a":1}', '{"a":2}'}
+
+
+def test_change_feed_of_many_copies_and_a_hot_key(spark):
+    old = spark.range(9_000).selectExpr("'hot' as k", "cast(id as int) as v", "'x' as w")
+    new = spark.range(10_000).selectExpr("'hot' as k", "cast(id + 5000 as int) as v", "'x' as w")
+    copies = spark.range(9_001).selectExpr("cast(null as string) as k", "1 as v", "'copy' as w")
+    feed = change_feed(old.unionByName(copies), new, ["k"])
+    got = rows(feed.groupBy("w", ACTION, IS_UPDATE).count())
+    assert got == [
+        ("copy", "DELETE", False, 9_001),
+        ("x", "DELETE", True, 5_000),
+        ("x", "INSERT", False, 1_000),
+        ("x", "INSERT", True, 5_000),
+    ]
