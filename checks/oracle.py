@@ -291,6 +291,12 @@ union all select 'store_id', store_id, 'false', action, n - pairs from updates w
         "select case store_region when 'ASIA' then 'prefix' else 'list' end as selected, * from pos "
         "where store_region in ('ASIA', 'EUROPE')"
     ),
+    "load_list_twice": _query("select * from pos where store_region in ('ASIA', 'EUROPE', 'AFRICA')"),
+    "csv_edges": (
+        "select cast(event_id as varchar) as event_id, cast(date_trunc('second', ts) as timestamp) as event_ts, "
+        "cast(ts as date) as event_day, case when event_id % 6 > 3 then cast(value as decimal(18,4)) end as amount from events"
+    ),
+    "json_documents": _query("select * exclude (raw_payload) from iot"),
     "audit_columns": _query(
         "select event_id as row_id, 'sensor-feed' as origin, '2024-05-06 07:08:09' as written from iot "
         "union all select store_id, 'dim_store', '2024-05-06 07:08:09' from d_store"

@@ -14,9 +14,10 @@ from shoplake import operators as ops
 from shoplake import plans
 from shoplake.plans.lakehouse import Lakehouse
 from shoplake.schemas import ERP_BRONZE, ERP_SILVER, IOT_BRONZE, SENSOR_SILVER, pos_bronze, pos_silver
-from shoplake.sources import read_csv_pos, read_event_payloads, read_json_events, read_parquet_erp
+from shoplake.sources import CsvFormat, JsonFormat, read_csv_pos, read_event_payloads, read_json_events, read_parquet_erp
+from shoplake.sources.pos_csv import typed_columns
 from shoplake.storage import materialize, scratch_path, write_table
-from shoplake.streaming import backfill, ingest_stream, merge_stream, read_merged
+from shoplake.streaming import backfill, ingest_stream, listed_table, load_files, merge_stream, read_merged
 from shoplake.tables import VersionedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -355,9 +356,9 @@ def _write_pos_files(rows: DataFrame, folder: str) -> str:
     return folder
 
 
-def _write_iot_files(rows: DataFrame, folder: str) -> str:
-    """Files of one JSON array each."""
-    element = F.concat(
+def _elements() -> Column:
+    """An event as JSON text."""
+    return F.concat(
         F.lit('{"event_id":"'),
         "event_id",
         F.lit('","event_type":"'),
@@ -373,7 +374,11 @@ def _write_iot_files(rows: DataFrame, folder: str) -> str:
         F.lit('",'),
         F.substring("raw_payload", 2, 1 << 30),
     )
-    events_per_file = 2_000
+
+
+def _write_iot_files(rows: DataFrame, folder: str) -> str:
+    """Files of one JSON array each."""
+    element, events_per_file = _elements(), 2_000
     arrays = (
         rows.groupBy(F.floor(F.col("event_id").cast("bigint") / events_per_file).alias("file"))
         .agg(F.array_join(F.collect_list(element), ",\n").alias("body"))
@@ -508,6 +513,47 @@ def file_selection(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def load_list_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """Two lists of files that share one region's files, the second one loaded twice."""
+    work, rows = scratch_path(spark, "lists"), _pos_raw(spark, sf)
+    listed = {}
+    for region in ("ASIA", "EUROPE", "AFRICA"):
+        folder = _write_pos_files(rows.where(F.col("store_region") == region), f"{work}/{region.lower()}")
+        listed[region] = spark.read.text(folder).inputFiles()
+    for paths in (listed["ASIA"] + listed["EUROPE"], *[listed["EUROPE"] + listed["AFRICA"]] * 2):
+        load_files(spark, "pos", paths, f"{work}/raw")
+    return listed_table(spark, "pos", f"{work}/raw").read()
+
+
+def csv_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as padded text: blanks around fields, four NULL tokens, dates and times of other patterns."""
+    fmt = CsvFormat(delimiter="|", skip_header=False, date_format="dd.MM.yyyy", timestamp_format="dd/MM/yyyy HH-mm-ss")
+    folder, number = scratch_path(spark, "csv-edges"), F.col("event_id") % 6
+    tokens = F.when(number == 0, "NULL").when(number == 1, "null").when(number == 2, "").when(number == 3, "N/A")
+    fields = [
+        F.col("event_id").cast("string"),
+        F.date_format("ts", "dd/MM/yyyy HH-mm-ss"),
+        F.date_format("ts", "dd.MM.yyyy"),
+        F.coalesce(tokens, F.col("value").cast("decimal(18,4)").cast("string")),
+    ]
+    padded = F.concat_ws("|", *[F.concat(F.lit("  "), f, F.lit(" ")) for f in fields])
+    feeds.table(spark, sf, "events").select(F.concat(padded, F.lit("|")).alias("line")).write.text(folder)
+    names = ["event_id", "event_ts", "event_day", "amount"]
+    text = spark.read.schema(", ".join(f"{n} string" for n in [*names, "rest"])).options(**fmt.options())
+    kinds = "event_id string, event_ts timestamp_ntz, event_day date, amount decimal(18,4)"
+    return typed_columns(text.csv(folder), spark.createDataFrame([], kinds).schema, fmt)
+
+
+def json_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines that hold several elements of an array, with its brackets and commas."""
+    rows, folder = feeds.feed(spark, sf, feeds.IOT), scratch_path(spark, "json-lines")
+    number = F.col("event_id").cast("bigint")
+    lines = rows.groupBy(F.floor(number / 7).alias("line")).agg(F.array_join(F.collect_list(_elements()), " , ").alias("body"))
+    bracketed = F.concat(F.when(F.col("line") % 3 == 0, "[").otherwise("  "), "body", F.when(F.col("line") % 3 == 2, "]").otherwise(","))
+    lines.select(bracketed.alias("value")).write.text(folder)
+    return _plain(read_json_events(spark, folder, fmt=JsonFormat(layout="lines"))).drop("raw_payload")
+
+
 def audit_columns(spark: SparkSession, sf: str) -> DataFrame:
     """Load time, source file and creation time, as text, of one run at a fixed time."""
     run = datetime(2024, 5, 6, 7, 8, 9)
@@ -583,6 +629,9 @@ QUERIES: dict[str, Query] = {
         stream_erp,
         handover,
         file_selection,
+        load_list_twice,
+        csv_edges,
+        json_documents,
         audit_columns,
         lakehouse,
     )

@@ -9,7 +9,7 @@ from shoplake.operators.changes import (
     merge,
 )
 from shoplake.operators.dedupe import first_per_key
-from shoplake.operators.lookup import BROADCAST_BYTES, fits_broadcast, lookup
+from shoplake.operators.lookup import BROADCAST_BYTES, fits_broadcast, heavy_keys, lookup, lookups
 from shoplake.operators.surrogate import assign_surrogate_key
 
 __all__ = [
@@ -21,7 +21,9 @@ __all__ = [
     "change_feed",
     "first_per_key",
     "fits_broadcast",
+    "heavy_keys",
     "insert_absent",
     "lookup",
+    "lookups",
     "merge",
 ]

@@ -54,13 +54,14 @@ def canonical(value: Column, kind: DataType) -> Column:
     return F.when(value.isNotNull(), F.struct(*fields))
 
 
-def _earlier(rows: DataFrame, group: Sequence[str], order: Sequence[str], amount: str, name: str) -> DataFrame:
+def _earlier(
+    rows: DataFrame, group: Sequence[str], order: Sequence[str], amount: str, name: str, chunks: int
+) -> DataFrame:
     """``rows`` with ``name``: the sum of ``amount`` over the group's rows before this one.
 
     The order is by chunk, a hash of ``order``, then by ``order``. Only one sum per
     group and chunk is added up in sequence, so a large group covers many tasks.
     """
-    chunks = max(1, -(-rows.count() // _CHUNK_ROWS))
     dealt = rows.withColumn("_chunk", F.pmod(F.xxhash64(*order), F.lit(chunks)))
     sums = dealt.groupBy(*group, "_chunk").agg(F.sum(amount).alias("_sum"))
     before = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -91,23 +92,22 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
     changed = materialize(net.where("_net <> 0").withColumn("_n", F.abs("_net")), "changed-rows")
 
     ids = [names[schema.names.index(k)] for k in keys]
-    known, unknown = changed.where(all_set(ids)), changed.where(~all_set(ids))
     gone = F.sum(F.when(F.col("_net") < 0, F.col("_n")).otherwise(0))
     came = F.sum(F.when(F.col("_net") > 0, F.col("_n")).otherwise(0))
-    per_key = known.groupBy(*ids).agg(gone.alias("_gone"), came.alias("_came"))
-    met = known.join(per_key, ids).withColumn("_pairs", F.least("_gone", "_came"))
-    # Of most keys all rows that are left are in pairs, or none is.
+    per_key = changed.where(all_set(ids)).groupBy(*ids).agg(gone.alias("_gone"), came.alias("_came"), F.count("*").alias("_rows"))
+    per_key = per_key.withColumn("_pairs", F.least("_gone", "_came"))
+    # Of most keys all rows that are left are in pairs, or none is. The others' pairs are counted out.
     partly = (F.col("_pairs") > 0) & (F.col("_gone") != F.col("_came"))
-    whole = met.where(~partly).withColumn("_updates", F.when(F.col("_pairs") > 0, F.col("_n")).otherwise(F.lit(0)))
-    rest = met.where(partly & (F.col("_n") > 0)).withColumn("_is_new", F.col("_net") > 0)
-    placed = _earlier(rest, [*ids, "_is_new"], names, "_n", "_before")
-    some = F.greatest(F.lit(0), F.least("_n", F.col("_pairs") - F.col("_before")))
-    columns = [*names, *kept, "_net", "_n"]
-    decided = (
-        whole.select(*columns, F.col("_updates").cast("long").alias("_updates"))
-        .unionByName(placed.select(*columns, some.cast("long").alias("_updates")))
-        .unionByName(unknown.select(*columns, F.lit(0).cast("long").alias("_updates")))
-    )
+    met = changed.join(per_key, ids, "left")
+    updates = F.when(F.col("_pairs") > 0, F.col("_n")).otherwise(F.lit(0).cast("long"))
+    columns = [*names, *kept, "_net", "_n", "_updates"]
+    decided = met.where(F.coalesce(~partly, F.lit(True))).withColumn("_updates", updates).select(*columns)
+    ambiguous = per_key.agg(F.sum(F.when(partly, F.col("_rows")))).first()[0]
+    if ambiguous:
+        rest = met.where(partly).withColumn("_is_new", F.col("_net") > 0)
+        placed = _earlier(rest, [*ids, "_is_new"], names, "_n", "_before", -(-ambiguous // _CHUNK_ROWS))
+        some = F.greatest(F.lit(0).cast("long"), F.least("_n", F.col("_pairs") - F.col("_before")))
+        decided = decided.unionByName(placed.withColumn("_updates", some).select(*columns))
     # Each row as often as it changed, in runs of bounded length.
     runs = F.array(
         F.struct(F.lit(True).alias("update"), F.col("_updates").alias("n")),

@@ -15,6 +15,12 @@ from shoplake.storage import materialize
 # monotonically_increasing_id keeps the row's place in its partition in 33 bits.
 _ROW_BITS = (1 << 33) - 1
 
+#: Rows that one task sorts when keys are dense.
+ROWS_PER_RANGE = 250_000
+
+# Equal rows of a task are told apart in runs of 2 ** 10, so that they can go to several ranges.
+_RUN_BITS = 10
+
 
 def assign_surrogate_key(
     df: DataFrame,
@@ -30,10 +36,12 @@ def assign_surrogate_key(
     number its rows differently.
 
     With ``order_by`` the keys are dense from ``start`` in that order (NULLs
-    last, ties by the remaining columns). Rows are range-partitioned, sorted and
-    written with their place in the partition; each partition then needs only
-    the number of rows before it, one number per partition. ``ranges`` fixes how
-    many there are; by default their compressed size decides.
+    last, ties by the remaining columns). ``df`` is evaluated once, into storage.
+    Borders of ranges are drawn from a sample of what is stored; rows are
+    range-partitioned, sorted and written with their place in the partition; each
+    partition then needs only the number of rows before it, one number per
+    partition. ``ranges`` fixes how many there are; by default the number of rows
+    decides, as copies compress so well that their bytes say nothing.
     """
     if not order_by:
         key = F.monotonically_increasing_id() + F.lit(start)
@@ -44,12 +52,16 @@ def assign_surrogate_key(
         for f in df.schema
         if f.name not in order_by and not isinstance(f.dataType, MapType | VariantType)
     ]
-    # Equal rows are told apart by where they come from, so a large group of
-    # copies spreads over several ranges.
+    # Equal rows are told apart by where they come from, so a large group of copies
+    # spreads over several ranges.
     order = [*[F.col(c).asc_nulls_last() for c in [*order_by, *ties]], F.col("_origin").asc()]
+    # The number of a row within its task, in runs, tells the copies of one task apart.
+    origin = F.shiftright(F.monotonically_increasing_id(), _RUN_BITS)
+    held = materialize(df.withColumn("_origin", origin), f"unkeyed-{name}")
+    if ranges is None:
+        ranges = max(1, -(-held.count() // ROWS_PER_RANGE))
     placed = (
-        df.withColumn("_origin", F.spark_partition_id())
-        .repartitionByRange(*([ranges] if ranges else []), *order)
+        held.repartitionByRange(ranges, *order)
         .sortWithinPartitions(*order)
         .drop("_origin")
         .withColumn("_part", F.spark_partition_id())

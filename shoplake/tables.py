@@ -24,13 +24,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, IntegralType, MapType, StringType, StructField, StructType, VariantType
 
 from shoplake.operators.changes import ACTION, DELETE, INSERT, IS_UPDATE, insert_absent, updated
-from shoplake.operators.lookup import BROADCAST_BYTES, all_set, byte_size
+from shoplake.operators.lookup import BROADCAST_BYTES, all_set, byte_size, fits_broadcast
 from shoplake.storage import remove
 
 #: Buckets of a new table. A bucket that is updated is written anew as a whole, so a large
@@ -50,6 +51,13 @@ _MANIFEST = (
     "kind string, commit string, bucket int, n long, slots long, loader string, batch long, "
     "least array<string>, most array<string>"
 )
+_TEXTS = pa.list_(pa.string())
+_MANIFEST_TABLE = pa.schema(
+    {
+        "kind": pa.string(), "commit": pa.string(), "bucket": pa.int32(), "n": pa.int64(), "slots": pa.int64(),
+        "loader": pa.string(), "batch": pa.int64(), "least": _TEXTS, "most": _TEXTS,
+    }
+)
 _VERSION = re.compile(r"/version=(\d+)/[^/]+$")
 
 
@@ -72,7 +80,7 @@ class Version:
     number: int
     buckets: int
     segments: tuple[Segment, ...] = ()
-    sources: tuple[tuple[str, str, int], ...] = ()
+    sources: tuple[tuple[str, str], ...] = ()
     offsets: dict[str, int] = field(default_factory=dict)
 
     def most_segments(self) -> int:
@@ -127,7 +135,7 @@ class VersionedTable:
                 for r in rows
                 if r.kind == "rows"
             ),
-            tuple((r.commit, r.loader, r.n) for r in rows if r.kind == "sources"),
+            tuple((r.commit, r.loader) for r in rows if r.kind == "sources"),
             {r.loader: r.batch for r in rows if r.kind == "offset"},
         )
 
@@ -135,17 +143,16 @@ class VersionedTable:
         """Make ``version`` the newest, under the next number."""
         version = replace(version, number=version.number + 1)
 
-        def row(kind, commit=None, bucket=None, n=None, slots=None, loader=None, batch=None, least=None, most=None):
-            return (kind, commit, bucket, n, slots, loader, batch, least, most)
-
-        lines = [row("table", bucket=version.buckets)]
+        lines = [{"kind": "table", "bucket": version.buckets}]
         for s in version.segments:
             least, most = ([None if v is None else str(v) for v in side] if side else None for side in (s.least, s.most))
-            lines.append(row("rows", s.commit, s.bucket, s.n, s.slots, least=least, most=most))
-        lines += [row("sources", commit, n=n, loader=loader) for commit, loader, n in version.sources]
-        lines += [row("offset", loader=loader, batch=batch) for loader, batch in version.offsets.items()]
+            lines.append(
+                {"kind": "rows", "commit": s.commit, "bucket": s.bucket, "n": s.n, "slots": s.slots, "least": least, "most": most}
+            )
+        lines += [{"kind": "sources", "commit": commit, "loader": loader} for commit, loader in version.sources]
+        lines += [{"kind": "offset", "loader": loader, "batch": batch} for loader, batch in version.offsets.items()]
         target = f"{self.path}/versions/version={version.number}"
-        one_file = self.spark.createDataFrame(lines, _MANIFEST).coalesce(1)
+        one_file = self.spark.createDataFrame(pa.Table.from_pylist(lines, _MANIFEST_TABLE)).coalesce(1)
         try:
             one_file.write.mode("errorifexists").parquet(target)
         except AnalysisException as error:
@@ -208,12 +215,11 @@ class VersionedTable:
 
         return commit, [Segment(commit, r[_BUCKET], r.n, 0, side(r, "least"), side(r, "most")) for r in found]
 
-    def _write_sources(self, sources: DataFrame | None, commit: str, loader: str) -> list[tuple[str, str, int]]:
+    def _write_sources(self, sources: DataFrame | None, commit: str, loader: str) -> list[tuple[str, str]]:
         if sources is None:
             return []
-        folder = f"{self.path}/sources/{commit}"
-        sources.select(SOURCE).write.parquet(folder)
-        return [(commit, loader, self.spark.read.schema(_SOURCES).parquet(folder).count())]
+        sources.select(SOURCE).write.parquet(f"{self.path}/sources/{commit}")
+        return [(commit, loader)]
 
     # --- key filters ----------------------------------------------------------------
 
@@ -269,11 +275,14 @@ class VersionedTable:
         if not version.segments:
             return [], True
         wanted = changes.where(all_set(self.keys)).select(*self.keys)
-        wanted = wanted.withColumn(_BUCKET, self.bucket(wanted, version.buckets)).distinct()
+        wanted = wanted.withColumn(_BUCKET, self.bucket(wanted, version.buckets))
         ranged = self._ranged()
         ends = [f(k).alias(f"{f.__name__}_{k}") for k in ranged for f in (F.min, F.max)]
         found = wanted.groupBy(_BUCKET).agg(byte_size(wanted).alias("bytes"), *ends).collect()
         asked, fits = {r[_BUCKET]: r for r in found}, sum(r.bytes for r in found) <= self.broadcast_limit
+        if not fits:
+            # Repeated keys count once in what is broadcast.
+            fits = fits_broadcast(wanted.select(*self.keys).distinct(), self.broadcast_limit)
 
         def overlaps(s: Segment) -> bool:
             row = asked.get(s.bucket)
@@ -286,7 +295,7 @@ class VersionedTable:
             return True
 
         near = [s for s in version.segments if overlaps(s)]
-        return [s for s in near if not s.slots] + self._may_hold([s for s in near if s.slots], wanted), fits
+        return [s for s in near if not s.slots] + self._may_hold([s for s in near if s.slots], wanted.distinct()), fits
 
     # --- reading and changing ---------------------------------------------------------
 
@@ -294,18 +303,36 @@ class VersionedTable:
         """The rows of a version, by default the newest. Later commits don't change what is read."""
         return self._read(self.version(number).segments)
 
-    def replace(self, rows: DataFrame, sources: DataFrame | None = None, loader: str = "bulk") -> Version:
-        """Full refresh: the next version holds ``rows`` only. Older versions stay readable."""
+    def replace(
+        self, rows: DataFrame, sources: DataFrame | None = None, loader: str = "bulk", offsets: dict[str, int] | None = None
+    ) -> Version:
+        """Full refresh: the next version holds ``rows`` only. Older versions stay readable.
+
+        ``offsets`` says how far each loader's data is in it.
+        """
         last = self.version()
-        base = Version(last.number, self.buckets if self.keys else 1)
+        base = Version(last.number, self.buckets if self.keys else 1, offsets=offsets or {})
         commit, segments = self._write(rows, base.buckets)
         segments = self._filtered(commit, segments)
         taken = self._write_sources(sources, commit, loader)
         return self._commit(replace(base, segments=tuple(segments), sources=tuple(taken)))
 
+    def append(self, rows: DataFrame, sources: DataFrame | None = None, loader: str = "bulk") -> Version:
+        """Add all ``rows``."""
+        return self._add(self.version(), rows, (), sources, loader, None)
+
+    def appended(self, since: int) -> tuple[DataFrame, int]:
+        """Rows that commits after version ``since`` added, and the newest version's number.
+
+        For a table that is only added to: rows of a replacement count as added.
+        """
+        last = self.version()
+        before = {(s.commit, s.bucket) for s in self.version(since).segments} if since else set()
+        return self._read([s for s in last.segments if (s.commit, s.bucket) not in before]), last.number
+
     def unknown_sources(self, version: Version, files: DataFrame, loader: str | None) -> DataFrame:
         """Names in ``files`` that no other loader than ``loader`` has taken in."""
-        others = [f"{self.path}/sources/{commit}" for commit, name, _ in version.sources if name != loader]
+        others = [f"{self.path}/sources/{commit}" for commit, name in version.sources if name != loader]
         if not others:
             return files
         taken = self.spark.read.schema(_SOURCES).parquet(*others)
@@ -386,7 +413,7 @@ class VersionedTable:
                     tier, total = [*tier, s], total + s.n
                 chosen += tier if len(tier) > 1 else []
         sources = list(last.sources)
-        loaders = [name for name, n in Counter(name for _, name, _ in sources).items() if n > max_segments]
+        loaders = [name for name, n in Counter(name for _, name in sources).items() if n > max_segments]
         if not chosen and not loaders:
             return last
         commit, made = uuid.uuid4().hex, []
@@ -394,7 +421,7 @@ class VersionedTable:
             commit, made = self._write(self._read(chosen), last.buckets)
             made = self._filtered(commit, made)
         for i, name in enumerate(sorted(loaders)):
-            folders = [f"{self.path}/sources/{c}" for c, n, _ in sources if n == name]
+            folders = [f"{self.path}/sources/{c}" for c, n in sources if n == name]
             joined = self._write_sources(self.spark.read.schema(_SOURCES).parquet(*folders).coalesce(1), f"{commit}-{i}", name)
             sources = [s for s in sources if s[1] != name] + joined
         gone = set(chosen)
@@ -408,7 +435,7 @@ class VersionedTable:
         """
         known = self.versions()
         stays = [self.version(n) for n in known[-keep:]]
-        commits = {s.commit for v in stays for s in v.segments} | {c for v in stays for c, _, _ in v.sources}
+        commits = {s.commit for v in stays for s in v.segments} | {c for v in stays for c, _ in v.sources}
         for n in known[:-keep]:
             remove(self.spark, f"{self.path}/versions/version={n}")
         for kind in ("rows", "filters", "sources"):

@@ -16,6 +16,7 @@ from shoplake.operators import (
     change_feed,
     first_per_key,
     fits_broadcast,
+    heavy_keys,
     insert_absent,
     lookup,
     merge,
@@ -143,6 +144,36 @@ def test_lookup_shuffle_spreads_heavy_and_unknown_keys(spark):
     assert max(sizes) < 900 and len(sizes) == 8
 
 
+def test_lookup_of_two_hundred_heavy_keys(spark):
+    """Each of them holds several fair shares of the 2,000 partitions; three quarters of all rows are theirs."""
+    key = "if(id % 4 < 3, id % 200 * 4 + id % 4 + 1000000, id)"
+    left = spark.range(0, 400_000, 1, 16).selectExpr(f"{key} as k", "id")
+    keys = left.groupBy("k").count()
+    assert keys.where("count > 1000").count() >= 150
+    right = left.select("k").distinct().where("k % 3 > 0").selectExpr("k", "-k as v")
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        got = lookup(left, right, ["k"], broadcast_limit=0, fits=False)
+        wrong = F.count_if(~F.col("v").eqNullSafe(F.when(F.col("k") % 3 > 0, -F.col("k"))))
+        sizes = got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), wrong.alias("wrong"), F.sum("id").alias("ids")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert sum(r.n for r in sizes) == 400_000 and sum(r.ids for r in sizes) == 400_000 * 399_999 // 2
+    assert sum(r.wrong for r in sizes) == 0
+    assert max(r.n for r in sizes) <= 2 * 400_000 / 2_000
+
+
+def test_heavy_keys_of_several_columns_in_one_pass(spark):
+    df = spark.range(20_000).selectExpr("if(id % 2 = 0, 5, id) as a", "if(id % 3 = 0, null, cast(id % 3 as string)) as b", "id as c")
+    a, b, c = heavy_keys(df, [["a"], ["b"], ["c"]])
+    digest = lambda sql: spark.sql(f"select xxhash64({sql})").first()[0]
+    assert set(a) == {digest("5L")} and set(b) == {digest("'1'"), digest("'2'")} and c == {}
+    assert heavy_keys(df.where("false"), [["a"]]) == [{}]
+
+
 def test_lookup_shuffles_by_route_and_key(spark):
     left, right = _sides(spark)
     got = lookup(left, right, ["k"], broadcast_limit=0, fits=False)

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
+import time
 
 from shoplake.plans import silver_pos, silver_sensor
 from shoplake.plans.lakehouse import Lakehouse
@@ -59,6 +61,17 @@ def test_files_are_loaded_once(spark, tmp_path):
     assert rows(raw, "transaction_id") == [("1",), ("2",)]
 
 
+def test_files_dated_long_ago_are_loaded(spark, tmp_path):
+    csv(tmp_path / "src", "a.csv", line("1"))
+    ingest(spark, "pos", tmp_path)
+    csv(tmp_path / "src", "b.csv", line("2"))
+    old = time.time() - 40 * 86_400
+    os.utime(tmp_path / "src" / "b.csv", (old, old))
+    ingest(spark, "pos", tmp_path)
+    raw = spark.read.schema(pos_bronze()).parquet(str(tmp_path / "raw"))
+    assert rows(raw, "transaction_id") == [("1",), ("2",)]
+
+
 def test_stream_in_steps_equals_one_batch(spark, tmp_path):
     for step in range(3):
         csv(tmp_path / "src", f"{step}.csv", *[line(f"{step}-{i}") for i in range(4)])
