@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -11,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import slices, split_words
+from shoplake.llm.common import release, slices, split_words
 from shoplake.storage import materialize
 
 #: Bounds of what is fitted: labelled rows, unlabelled rows, telling words for each target.
@@ -185,19 +186,32 @@ def _meta_features(batch: pa.RecordBatch, langs: list[str], sources: list[str])
     return np.stack(columns, axis=1)
 
 
-def _sample(docs: DataFrame, labels: DataFrame, targets: list[str]) -> DataFrame:
-    """The bounded rows to learn from, in hash order of their id: labelled ones, then the pool."""
+def _first(rows: DataFrame, n: int) -> DataFrame:
+    """``n`` rows by hash of ``id``. Of very many only those of the least hashes are sorted at all."""
     order = F.xxhash64(F.col("id"))
+    share = 2 * n / max(rows.count(), 1)
+    if share < 1:
+        rows = rows.where(order < F.lit(int(-(2**63) + share * 2**64)))
+    return rows.orderBy(order, "id").limit(n)
+
+
+def _sample(docs: DataFrame, labels: DataFrame, targets: list[str]) -> DataFrame:
+    """The bounded rows to learn from, in hash order of their id: labelled ones, then the pool. One row an id."""
     named = labels.select(F.col("doc_id").cast("long").alias("id"), *[F.col(t).cast("double").alias(f"y_{t}") for t in targets])
     named = named.where("id is not null").dropna(subset=[f"y_{t}" for t in targets]).groupBy("id").agg(
         *[F.max(f"y_{t}").alias(f"y_{t}") for t in targets]
     )
-    some = named.orderBy(order, "id").limit(LABELLED)
+    some = _first(named, LABELLED)
     ids = docs.select(F.col("doc_id").cast("long").alias("id")).where("id is not null").distinct()
-    pool = ids.join(named, "id", "left_anti").orderBy(order, "id").limit(POOL)
+    pool = _first(ids.join(named, "id", "left_anti"), POOL)
     wanted = some.unionByName(pool, allowMissingColumns=True)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *_meta(docs))
-    return rows.join(F.broadcast(wanted), F.col("doc_id") == F.col("id")).drop("id")
+    met = rows.join(F.broadcast(wanted), F.col("doc_id") == F.col("id")).drop("id")
+    # Of an id's rows the one with the least digest; few ids have more than one.
+    met = met.withColumn("digest", F.xxhash64("text", "lang", "source", "n_chars"))
+    beside = ["text", "lang", "source", "n_chars"]
+    one = met.groupBy("doc_id", *[f"y_{t}" for t in targets]).agg(F.min_by(F.struct(*beside), "digest").alias("row"))
+    return one.select("doc_id", *[f"y_{t}" for t in targets], "row.*")
 
 
 def _telling_words(sample: DataFrame, target: str) -> list[str]:
@@ -252,14 +266,31 @@ class Classifier:
                     [batch.column("doc_id"), *[batch.column(y) for y in ys], *row], ["doc_id", *ys, "text", "meta"]
                 )
 
-        learned = sample.mapInArrow(features, schema).orderBy("doc_id").toArrow()
-        x = [np.stack(learned.column(c).to_numpy()) if len(learned) else np.zeros((0, 1)) for c in ("text", "meta")]
-        self.models: dict[str, tuple[list[View], np.ndarray] | None] = {}
-        for t in targets:
-            y = learned.column(f"y_{t}").to_numpy().astype(float)
-            known = np.isfinite(y)
-            both = len(set(y[known].tolist())) > 1 and known.sum() >= 2 * CALIBRATE
-            self.models[t] = co_train([x[0][:, self.columns[t]], x[1]], np.nan_to_num(y), known) if both else None
+        columns = self.columns
+
+        def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(batches, pa_schema).sort_by("doc_id")
+            if not len(rows):
+                return
+            x = [np.stack(rows.column(c).to_numpy()) for c in ("text", "meta")]
+            models: dict[str, tuple[list[View], np.ndarray] | None] = {}
+            for t in targets:
+                y = rows.column(f"y_{t}").to_numpy().astype(float)
+                known = np.isfinite(y)
+                both = len(set(y[known].tolist())) > 1 and known.sum() >= 2 * CALIBRATE
+                models[t] = co_train([x[0][:, columns[t]], x[1]], np.nan_to_num(y), known) if both else None
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(models)], pa.binary())], ["models"])
+            del rows, x
+            release()
+
+        # The bounded sample is fitted in one task; only weights come to the driver.
+        pa_schema = pa.schema(
+            [("doc_id", pa.int64()), *[(y, pa.float64()) for y in ys], ("text", pa.list_(pa.float32())), ("meta", pa.list_(pa.float32()))]
+        )
+        found = sample.mapInArrow(features, schema).repartition(1).mapInArrow(fit, "models binary").collect()
+        self.models: dict[str, tuple[list[View], np.ndarray] | None] = dict.fromkeys(targets)
+        for row in found:
+            self.models |= pickle.loads(row.models)
 
     def _features(self):
         vocabulary, langs, sources = self.vocabulary, self.langs, self.sources
@@ -305,9 +336,9 @@ def score(docs: DataFrame, labels: DataFrame, targets: list[str]) -> DataFrame:
     Every row is scored by its whole text. Null and empty texts have no words;
     missing metadata is a value of its own. Repeated ids are scored each; of repeated
     labels the greatest counts, rows of ``labels`` with nulls don't. Without labels
-    of both kinds all probabilities are 0.5. Empty tables give an empty result. The
-    driver gets features of the sample only, at most 10,000 rows of some hundred
-    numbers; documents are not shuffled.
+    of both kinds all probabilities are 0.5. Empty tables give an empty result. One
+    task gets the features of the sample, at most 10,000 rows of some hundred numbers, and
+    the driver the weights; documents are not shuffled.
     """
     run = Classifier(docs, labels, targets).scorer()
     outputs = [f"{kind}_{t}" for t in targets for kind in ("p", "text", "meta")]
