@@ -18,7 +18,7 @@ from shoplake.llm.vocabulary import PIECES, SPACE, Vocabulary, coded_pre_tokens,
 MAX_KNOWN = 150_000
 
 #: Characters of new pre-tokens that one suffix array holds, unless one is longer.
-BATCH_CHARS = 1 << 19
+BATCH_CHARS = 1 << 18
 
 #: Text that one step of encoding takes in.
 ENCODE_BYTES = 4 << 20
