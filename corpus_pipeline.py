@@ -9,6 +9,9 @@ from shoplake.llm import exact_dedup, jaccard_join, mixing, quality_classifier,
 from shoplake.llm.common import screened
 from shoplake.storage import materialize
 
+#: Numbers of rows without an id of their own begin here; ids are less.
+BEYOND = 1 << 62
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier accepts: of good quality and not toxic."""
@@ -22,11 +25,28 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest doc_id, of each group linked by 5-word shingles at 0.8."""
-    classes = jaccard_join.jaccard_join(docs, words=5, percent=80)
+    """One document, the smallest doc_id, of each group linked by 5-word shingles at 0.8.
+
+    Rows that share an id, or have none, are compared each by itself: they are stored with a
+    number beyond all ids, so of a group a row with an id of its own stays before them.
+    Documents without words are linked with nothing and stay.
+    """
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1 or doc_id is null")
+    shared = materialize(ids.select(F.col("doc_id").alias("_id")), "shared-ids")
+    alike = F.col("doc_id").eqNullSafe(F.col("_id"))
+    usual, odd = docs, None
+    if not shared.isEmpty():
+        usual = docs.join(shared, alike, "left_anti")
+        odd = docs.join(shared, alike, "left_semi").select(F.struct(*docs.columns).alias("doc"))
+        odd = materialize(odd.withColumn("doc_id", BEYOND + F.monotonically_increasing_id()).select("doc_id", "doc.text", "doc"), "odd-rows")
+    rows = usual.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    classes = jaccard_join.jaccard_join(rows if odd is None else rows.unionByName(odd.select("doc_id", "text")), words=5, percent=80)
     gone = materialize(classes.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")), "near-copies")
-    maybe, kept = screened(docs, "doc_id", gone)
-    return kept.unionByName(maybe.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti"))
+    maybe, kept = screened(usual, "doc_id", gone)
+    kept = kept.unionByName(maybe.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti"))
+    if odd is None:
+        return kept
+    return kept.unionByName(odd.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").select("doc.*"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
