@@ -518,3 +518,28 @@ def test_pipeline_stages(spark, sf_dir, texts):
     classes = plain_classes({d: texts[d] for d in by["exact"]}, 5, 80)
     assert sorted(by["near"]) == sorted({c for _, _, c, _ in classes})
     assert set(by["mix"]) <= set(by["near"]) and sorted(by["tokens"]) == sorted(by["mix"])
+
+
+def test_near_stage_compares_every_row_of_a_shared_or_missing_id(spark, tmp_path):
+    import corpus_pipeline
+
+    a = " ".join(f"a{i}" for i in range(40))
+    b = " ".join(f"b{i}" for i in range(40))
+    c = " ".join(f"c{i}" for i in range(40))
+    rows_ = [
+        (1, a, "en", "s", 1, 0),
+        (2, a + " more", "en", "s", 1, 0),
+        (2, b, "en", "s", 1, 0),
+        (3, b + " more", "en", "s", 1, 0),
+        (None, c, "en", None, None, 0),
+        (None, c + " more", "en", None, None, 0),
+        (None, None, "en", None, None, 0),
+        (4, "", "en", "s", 0, 0),
+    ]
+    spark.createDataFrame(rows_, SCHEMA).write.parquet(f"{tmp_path}/d")
+    stored = spark.read.parquet(f"{tmp_path}/d")
+    kept = corpus_pipeline.near(spark, stored, "")
+    assert kept.columns == stored.columns
+    got = [(r.doc_id, (r.text or "").split(" ")[0]) for r in kept.collect()]
+    assert sorted(got, key=str) == sorted([(1, "a0"), (3, "b0"), (None, "c0"), (None, ""), (4, "")], key=str)
+    assert corpus_pipeline.near(spark, stored.limit(0), "").count() == 0
