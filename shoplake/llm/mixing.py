@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import running
+from shoplake.llm.common import release, running
 from shoplake.storage import materialize
 
 #: A word: a run of characters other than U+0020 and U+0009-U+000D.
@@ -118,6 +118,7 @@ def _draw(docs: DataFrame, plans: list[Source], per_shard: int, seed: int) -> Da
                 drawn = np.random.default_rng([seed, int(shard)]).multinomial(min(per_shard, total - int(shard) * per_shard), shares)
                 has = np.flatnonzero(drawn)
                 yield pd.DataFrame({"shard": shard, "number": has, "drawn": drawn[has]})
+        release()
 
     shards = -(-total // per_shard)
     drawn = spark.range(0, shards, 1, max(1, min(shards, 200))).mapInPandas(counts, "shard long, number int, drawn long")
@@ -141,6 +142,7 @@ def _draw(docs: DataFrame, plans: list[Source], per_shard: int, seed: int) -> Da
                     to[extra] = np.searchsorted(under_ends, k, side="right")
                     ordinal[extra] = got[to[extra]] + k - under_base[to[extra]]
                     yield pd.DataFrame({"shard": shard, "number": to, "ordinal": ordinal})
+        release()
 
     placed = running(drawn, ["number"], ["shard"], F.col("drawn"), "first")
     return placed.mapInPandas(ordinals, "shard long, number int, ordinal long")
@@ -205,6 +207,7 @@ def mix(
                     found[inner] = permuted(position[inner], whole, _seed(seed, number, copy))
                 room = np.where(ordinal == p.slots - 1, p.last, block)
                 yield pd.DataFrame({"shard": part["shard"], "number": number, "ordinal": ordinal, "copy": copy, "block": found, "room": room})
+        release()
 
     slots = _draw(docs, plans, per_shard, seed).mapInPandas(
         place, "shard long, number int, ordinal long, copy int, block long, room long"
