@@ -297,6 +297,10 @@ union all select 'store_id', store_id, 'false', action, n - pairs from updates w
         "cast(ts as date) as event_day, case when event_id % 6 > 3 then cast(value as decimal(18,4)) end as amount from events"
     ),
     "json_documents": _query("select * exclude (raw_payload) from iot"),
+    "json_large_arrays": _query(
+        "select * exclude (raw_payload), json_extract_string(raw_payload, '$.metadata.firmware') as firmware, "
+        "cast(json_extract_string(raw_payload, '$.readings[1].value') as bigint) as second_value from iot"
+    ),
     "audit_columns": _query(
         "select event_id as row_id, 'sensor-feed' as origin, '2024-05-06 07:08:09' as written from iot "
         "union all select store_id, 'dim_store', '2024-05-06 07:08:09' from d_store"

@@ -376,9 +376,9 @@ def _elements() -> Column:
     )
 
 
-def _write_iot_files(rows: DataFrame, folder: str) -> str:
+def _write_iot_files(rows: DataFrame, folder: str, events_per_file: int = 2_000) -> str:
     """Files of one JSON array each."""
-    element, events_per_file = _elements(), 2_000
+    element = _elements()
     arrays = (
         rows.groupBy(F.floor(F.col("event_id").cast("bigint") / events_per_file).alias("file"))
         .agg(F.array_join(F.collect_list(element), ",\n").alias("body"))
@@ -554,6 +554,20 @@ def json_documents(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(read_json_events(spark, folder, fmt=JsonFormat(layout="lines"))).drop("raw_payload")
 
 
+def json_large_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    """Arrays of many events a file, cut between tasks, next to small files read whole."""
+    rows, folder = feeds.feed(spark, sf, feeds.IOT), scratch_path(spark, "json-arrays")
+    number = F.col("event_id").cast("bigint")
+    _write_iot_files(rows.where(number % 10 > 0), f"{folder}/large", 50_000)
+    _write_iot_files(rows.where(number % 10 == 0), f"{folder}/small", 500)
+    events = read_json_events(spark, [f"{folder}/large", f"{folder}/small"], fmt=JsonFormat(split_above=1 << 17))
+    return _plain(events).select(
+        "*",
+        F.variant_get("raw_payload", "$.metadata.firmware", "string").alias("firmware"),
+        F.variant_get("raw_payload", "$.readings[1].value", "bigint").alias("second_value"),
+    ).drop("raw_payload")
+
+
 def audit_columns(spark: SparkSession, sf: str) -> DataFrame:
     """Load time, source file and creation time, as text, of one run at a fixed time."""
     run = datetime(2024, 5, 6, 7, 8, 9)
@@ -632,6 +646,7 @@ QUERIES: dict[str, Query] = {
         load_list_twice,
         csv_edges,
         json_documents,
+        json_large_arrays,
         audit_columns,
         lakehouse,
     )
