@@ -97,8 +97,8 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _nearest(found: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k nearest rows of each query, each vector once; ties to the smaller id."""
-    ordered = found.drop_duplicates(["query_id", "vec_id"]).sort_values(["query_id", "score", "vec_id"], kind="stable")
+    """The k nearest rows of each query, each id once, at its nearest vector; ties to the smaller id."""
+    ordered = found.sort_values(["query_id", "score", "vec_id"], kind="stable").drop_duplicates(["query_id", "vec_id"])
     return ordered.groupby("query_id", sort=False).head(k)
 
 
@@ -183,9 +183,10 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 10, tables: int = 2, see
     ``score`` is the Euclidean distance of the stored vectors in double precision,
     nearest first, ties to the smaller vec_id. A vector that is null, all zero, or
     has null or non-finite components, or another length than most, takes no part,
-    nor does a row without an id. Repeated ids count once. Equal vectors are hashed
-    once, with the k + 1 smallest ids that can be answers. With fewer than k others
-    a query may get fewer rows; an empty table gives an empty result.
+    nor does a row without an id. An id with several vectors counts once, at the one
+    nearest to the query; as a query it asks with the least of them. Equal vectors are hashed
+    once, with the k + 1 smallest ids that can be answers. A query whose probes find fewer
+    than k ids meets all vectors, so it gets k or all others; an empty table gives an empty result.
 
     A vector is stored once a table; a query visits buckets in the order of their
     estimated success, as many as a bounded calibration found to reach the target
@@ -206,9 +207,23 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 10, tables: int = 2, see
     firsts = usable.select("v", "vec_id").withColumn("n", F.dense_rank().over(least)).where(F.col("n") <= k + 1)
     vectors = firsts.groupBy("v").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"))
     vectors = materialize(vectors.withColumn("first", F.col("ids")[0]), "vectors")
-    queries = usable.where("asks").select(F.col("vec_id").alias("query_id"), "v").dropDuplicates(["query_id"])
+    queries = usable.where("asks").groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("v"))
     queries = materialize(queries, "queries")
     hashing, probes = calibrate(vectors, queries, fit(vectors, dimension, tables, seed), k)
+    found = _search(vectors, queries, hashing, probes, k)
+    if hashing.exact:
+        return found
+    found = materialize(found, "nearest-of-probes")
+    short = queries.join(found.where(F.col("rank") == k), "query_id", "left_anti")
+    short = materialize(short, "queries-left")
+    if short.isEmpty():
+        return found
+    rest = _search(vectors, short, hashing.fewer(0), 1, k)
+    return found.join(short.select("query_id"), "query_id", "left_anti").unionByName(rest)
+
+
+def _search(vectors: DataFrame, queries: DataFrame, hashing: Hashing, probes: int, k: int) -> DataFrame:
+    """The k nearest of each query among the vectors in the buckets that its probes visit."""
     tables = len(hashing.lines)
 
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,7 +275,8 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 10, tables: int = 2, see
         if best:
             yield pa.RecordBatch.from_pandas(_nearest(pd.concat(best), k), preserve_index=False)
 
-    found = met.mapInArrow(measure, "query_id long, vec_id long, score double").distinct()
+    found = met.mapInArrow(measure, "query_id long, vec_id long, score double")
+    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
