@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplake.llm import exact_dedup, jaccard_join, mixing, quality_classifier, subword_encoding
-from shoplake.llm.common import screened
+from shoplake.llm.common import fresh, screened
 from shoplake.storage import materialize
 
 #: Numbers of rows without an id of their own begin here; ids are less.
@@ -31,9 +31,10 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     number beyond all ids, so of a group a row with an id of its own stays before them.
     Documents without words are linked with nothing and stay.
     """
-    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1 or doc_id is null")
-    shared = materialize(ids.select(F.col("doc_id").alias("_id")), "shared-ids")
-    alike = F.col("doc_id").eqNullSafe(F.col("_id"))
+    shared_id, dropped = fresh(docs, "id"), fresh(docs, "gone")
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1 or doc_id is null")
+    shared = materialize(ids.select(F.col("doc_id").alias(shared_id)), "shared-ids")
+    alike = F.col("doc_id").eqNullSafe(F.col(shared_id))
     usual, odd = docs, None
     if not shared.isEmpty():
         usual = docs.join(shared, alike, "left_anti")
@@ -41,12 +42,12 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         odd = materialize(odd.withColumn("doc_id", BEYOND + F.monotonically_increasing_id()).select("doc_id", "doc.text", "doc"), "odd-rows")
     rows = usual.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     classes = jaccard_join.jaccard_join(rows if odd is None else rows.unionByName(odd.select("doc_id", "text")), words=5, percent=80)
-    gone = materialize(classes.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")), "near-copies")
+    gone = materialize(classes.where("component_id <> doc_id").select(F.col("doc_id").alias(dropped)), "near-copies")
     maybe, kept = screened(usual, "doc_id", gone)
-    kept = kept.unionByName(maybe.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti"))
+    kept = kept.unionByName(maybe.join(gone, F.col("doc_id").cast("long") == F.col(dropped), "left_anti"))
     if odd is None:
         return kept
-    return kept.unionByName(odd.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").select("doc.*"))
+    return kept.unionByName(odd.join(gone, F.col("doc_id") == F.col(dropped), "left_anti").select("doc.*"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

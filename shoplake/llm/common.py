@@ -49,6 +49,11 @@ def release() -> None:
         trim(0)
 
 
+def fresh(rows: DataFrame, name: str) -> str:
+    """A column name that ``rows`` does not have, in any case of letters."""
+    return "_" * (1 + max(map(len, rows.columns), default=0)) + name
+
+
 def split_words(text: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Offsets and values of each text's words.
 
@@ -85,14 +90,15 @@ def screened(rows: DataFrame, key: str, wanted: DataFrame) -> tuple[DataFrame, D
     null key is surely not wanted.
     """
     slot = "pmod(xxhash64({0}), {1}L)".format
+    bucket, bits = fresh(rows, "bucket"), fresh(rows, "bits")
     of_wanted = slot(f"`{wanted.columns[0]}`", SCREEN_BITS)
-    maps = wanted.groupBy(F.expr(f"bitmap_bucket_number({of_wanted})").alias("_bucket")).agg(
-        F.expr(f"bitmap_construct_agg(bitmap_bit_position({of_wanted}))").alias("_bits")
+    maps = wanted.groupBy(F.expr(f"bitmap_bucket_number({of_wanted})").alias(bucket)).agg(
+        F.expr(f"bitmap_construct_agg(bitmap_bit_position({of_wanted}))").alias(bits)
     )
     at = slot(f"cast(`{key}` as bigint)", SCREEN_BITS)
-    met = rows.join(F.broadcast(maps), F.expr(f"bitmap_bucket_number({at})") == F.col("_bucket"), "left")
-    byte = f"cast(conv(hex(substring(_bits, cast(bitmap_bit_position({at}) div 8 + 1 as int), 1)), 16, 10) as int)"
-    hit = F.expr(f"`{key}` is not null and _bits is not null and (shiftright({byte}, cast(bitmap_bit_position({at}) % 8 as int)) & 1) = 1")
+    met = rows.join(F.broadcast(maps), F.expr(f"bitmap_bucket_number({at})") == F.col(bucket), "left")
+    byte = f"cast(conv(hex(substring({bits}, cast(bitmap_bit_position({at}) div 8 + 1 as int), 1)), 16, 10) as int)"
+    hit = F.expr(f"`{key}` is not null and {bits} is not null and (shiftright({byte}, cast(bitmap_bit_position({at}) % 8 as int)) & 1) = 1")
     return met.where(hit).select(*rows.columns), met.where(~hit).select(*rows.columns)
 
 

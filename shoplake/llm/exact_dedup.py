@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplake.llm.common import attach, screened, slices
+from shoplake.llm.common import attach, fresh, screened, slices
 from shoplake.storage import materialize
 
 #: Keys of one filter, on average; a filter takes about nine bits a key.
@@ -173,7 +173,8 @@ def exact_dedup(docs: DataFrame, in_snapshot: Column) -> DataFrame:
     )
     grouped = materialize(grouped, "digest-groups")
     snapshot, batch = grouped.where("known").drop("known"), grouped.where("not known").drop("known")
-    buckets = max(1, -(-snapshot.count() // KEYS_PER_FILTER))
+    # As the batch may be far larger than the snapshot, or the reverse, the larger one decides.
+    buckets = max(1, -(-max(snapshot.count(), batch.count()) // KEYS_PER_FILTER))
     stored = materialize(filters(snapshot, buckets), "fuse-filters")
     passed = screen(batch, stored, buckets)
     found = passed.join(snapshot, "digest").select("digest", F.col("keep").alias("old"), F.col("n").alias("old_n"))
@@ -196,8 +197,7 @@ def exact_dedup(docs: DataFrame, in_snapshot: Column) -> DataFrame:
 
 def kept_documents(docs: DataFrame, in_snapshot: Column) -> DataFrame:
     """The rows of ``docs``, unchanged, that `exact_dedup` keeps: one of each class of equal texts."""
-    name = "_digest" + "_" * sum(c.startswith("_digest") for c in docs.columns)
-
+    name, own, wanted, nth = (fresh(docs, n) for n in ("digest", "id", "kept", "n"))
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,12 +205,12 @@ def kept_documents(docs: DataFrame, in_snapshot: Column) -> DataFrame:
             found = [hashlib.sha256(folded(t.as_py())).digest() for t in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], [*batch.schema.names, name])
 
-    kept = exact_dedup(docs, in_snapshot).where("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_kept"))
+    kept = exact_dedup(docs, in_snapshot).where("kept").select(F.col("doc_id").alias(own), F.col("digest").alias(wanted))
     marked = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.BinaryType())]))
-    met = marked.join(kept, (F.col(name) == F.col("_kept")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
+    met = marked.join(kept, (F.col(name) == F.col(wanted)) & F.col("doc_id").cast("long").eqNullSafe(F.col(own)), "left_semi")
     # Repeated rows of the id that stays: one is enough.
     order = Window.partitionBy(name).orderBy(F.lit(0))
-    return met.withColumn("_n", F.row_number().over(order)).where("_n = 1").select(*docs.columns)
+    return met.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).select(*docs.columns)
 
 
 def _compare_bytes(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> None:
@@ -224,9 +224,9 @@ def _compare_bytes(docs: DataFrame, rows: DataFrame, classes: DataFrame) -> None
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     wanted = materialize(wanted, "suspects")
     maybe, _ = screened(texts, "doc_id", wanted.where("id is not null").select("id"))
-    met = maybe.join(wanted, F.col("doc_id") == F.col("id")).select("digest", fold.alias("folded"))
-    # Rows of one id may hold several texts, so a digest counts only with its own.
-    met = met.where(F.unhex(F.sha2("folded", 256)) == F.col("digest"))
+    # Rows of one id may hold several texts, so a text meets only its own digest.
+    hashed = maybe.select("doc_id", fold.alias("folded")).withColumn("found", F.unhex(F.sha2("folded", 256)))
+    met = hashed.join(wanted, (F.col("doc_id") == F.col("id")) & (F.col("found") == F.col("digest"))).select("digest", "folded")
     apart = met.groupBy("digest", "folded").agg(F.lit(1).alias("one")).groupBy("digest").agg(F.count("one").alias("texts"))
     if apart.where("texts > 1").limit(1).count():
         raise ValueError("different texts have the same SHA-256 digest")

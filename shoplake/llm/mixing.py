@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import release, running
+from shoplake.llm.common import fresh, release, running
 from shoplake.storage import materialize
 
 #: A word: a run of characters other than U+0020 and U+0009-U+000D.
@@ -234,16 +234,19 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     Rows without words are not part of a mixture. Rows that share an id, null
     included, are mixed each by itself: the texts are stored once with row numbers.
     """
-    stored = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "mixed-texts")
-    numbered, mixture = mix(stored, F.regexp_count("text", F.lit(WORD)), row=F.col("_row"), **options)
-    spans = mixture.join(numbered.select("row", "size"), "row").groupBy(F.col("row").alias("_mixed"), "copy").agg(
-        F.sum("words").alias("took"),
-        F.max("size").alias("of"),
-        F.sort_array(F.collect_list(F.struct("first_word", "words"))).alias("spans"),
+    row, mixed, spans = (fresh(docs, n) for n in ("row", "mixed", "spans"))
+    stored = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "mixed-texts")
+    numbered, mixture = mix(stored, F.regexp_count("text", F.lit(WORD)), row=F.col(row), **options)
+    passes = mixture.join(numbered.select("row", "size"), "row").groupBy(F.col("row").alias(mixed), "copy").agg(
+        F.struct(
+            F.sum("words").alias("took"),
+            F.max("size").alias("of"),
+            F.sort_array(F.collect_list(F.struct("first_word", "words"))).alias("parts"),
+        ).alias(spans)
     )
     cut = F.pandas_udf(_cut, "string")
-    met = stored.join(spans, F.col("_row") == F.col("_mixed"))
-    text = F.when(F.col("took") == F.col("of"), F.col("text")).otherwise(cut("text", "spans"))
+    met = stored.join(passes.drop("copy"), F.col(row) == F.col(mixed))
+    text = F.when(F.col(spans)["took"] == F.col(spans)["of"], F.col("text")).otherwise(cut("text", F.col(spans)["parts"]))
     met = met.withColumn("text", text).select(*docs.columns)
     return met.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else met
 

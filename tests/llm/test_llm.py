@@ -169,6 +169,27 @@ def test_nearest_neighbours_odd_vectors(spark):
     assert nearest_neighbours.nearest(table.where("false"), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("count", [2, 9, 11, 40])
+def test_nearest_neighbours_finds_all_where_there_are_few(spark, count):
+    rng = np.random.default_rng(count)
+    x = {i: v.astype(np.float32).astype(float) for i, v in enumerate(rng.standard_normal((count, 8)))}
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in x.items()], "vec_id long, embedding array<float>")
+    got = Counter(r.query_id for r in nearest_neighbours.nearest(table, F.lit(True)).collect())
+    assert got == {i: min(10, count - 1) for i in x}
+
+
+def test_nearest_neighbours_with_several_vectors_of_an_id(spark):
+    rows = [(0, [1.0, 1.0]), (1, [6.0, 4.0]), (1, [2.0, 1.0]), (2, [1.0, 4.0]), (3, [9.0, 9.0]), (3, [0.5, 9.0]), (2, [1.0, 4.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
+    got = nearest_neighbours.nearest(table, F.expr("vec_id in (0, 3)")).orderBy("query_id", "rank").collect()
+    d = lambda a, b: math.dist(a, b)
+    asked = {0: [1.0, 1.0], 3: [0.5, 9.0]}  # the least vector of the id
+    for q, v in asked.items():
+        best = {i: min(d(v, w) for j, w in rows if j == i) for i, _ in rows if i != q}
+        want = sorted((score, i) for i, score in best.items())
+        assert [(r.score, r.vec_id) for r in got if r.query_id == q] == want
+
+
 # --- mixing ----------------------------------------------------------------------------
 
 
@@ -224,6 +245,18 @@ def test_mixed_documents_tell_rows_of_one_id_apart(spark):
     assert all(abs(by_source[name] - aim) <= 0.5 for name, aim in target.items())
 
 
+CLASHING = ["copy", "took", "of", "spans", "parts", "row", "_row", "_mixed", "number", "size", "block", "words"]
+
+
+def test_mixed_documents_leave_clashing_columns_alone(spark, docs):
+    clashing = docs.select("*", *[F.col("doc_id").alias(c) for c in CLASHING])
+    got = mixing.mixed_documents(clashing, block=64)
+    assert got.columns == clashing.columns
+    rows = got.collect()
+    assert rows and all(r[c] == r.doc_id for r in rows for c in CLASHING)
+    assert sorted((r.doc_id, r.text) for r in rows) == sorted((r.doc_id, r.text) for r in mixing.mixed_documents(docs, block=64).collect())
+
+
 # --- duplicates ------------------------------------------------------------------------
 
 
@@ -248,6 +281,41 @@ def test_exact_dedup_equals_grouping(spark, docs, texts, snapshot):
     assert {(r.doc_id, r.keep_id, r.group_size, r.kept, bytes(r.digest)) for r in got} == want
 
 
+@pytest.mark.parametrize("snapshot", ["false", "doc_id = 1"])
+def test_exact_dedup_deals_a_batch_larger_than_its_snapshot(spark, docs, texts, snapshot, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "KEYS_PER_FILTER", 16)
+    dealt, screen = [], exact_dedup.screen
+    monkeypatch.setattr(exact_dedup, "screen", lambda batch, stored, buckets: dealt.append(buckets) or screen(batch, stored, buckets))
+    last = {}
+    for d, t in texts.items():
+        h = hashlib.sha256(t.encode().lower()).digest()
+        last[h] = max(d, last.get(h, d))
+    kept = exact_dedup.exact_dedup(docs, F.expr(snapshot)).where("kept").select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(last.values())
+    assert dealt[0] >= (len(last) - 1) // 16
+
+
+def test_exact_dedup_leaves_clashing_columns_alone(spark, docs):
+    names = ["_id", "_kept", "_n", "_digest", "_DIGEST_", "__digest", "digest", "known", "keep", "n", "_bits", "_bucket"]
+    clashing = docs.select("*", *[F.col("doc_id").alias(c) for c in names])
+    got = exact_dedup.kept_documents(clashing, F.expr("doc_id % 2 = 0"))
+    assert got.columns == clashing.columns
+    rows = got.collect()
+    assert rows and all(r[c] == r.doc_id for r in rows for c in names)
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in exact_dedup.kept_documents(docs, F.expr("doc_id % 2 = 0")).collect())
+
+
+def test_near_stage_leaves_clashing_columns_alone(spark, docs, tmp_path):
+    import corpus_pipeline
+
+    names = ["_id", "_gone", "_rows", "_bits", "_bucket", "doc", "component_id"]
+    docs.select("*", *[F.col("doc_id").alias(c) for c in names]).write.parquet(str(tmp_path / "docs"))
+    stored = spark.read.parquet(str(tmp_path / "docs"))
+    rows = corpus_pipeline.near(spark, stored, "").collect()
+    assert rows and all(r[c] == r.doc_id for r in rows for c in names)
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in corpus_pipeline.near(spark, stored.select(*docs.columns), "").collect())
+
+
 def test_exact_dedup_odd_rows(spark, odd, empty):
     got = exact_dedup.exact_dedup(odd, F.expr("doc_id % 2 = 0")).collect()
     assert sorted((r.doc_id, r.keep_id, r.group_size) for r in got)[:5] == [(1, 2, 3), (1, 2, 3), (2, 2, 3), (3, 4, 2), (4, 4, 2)]
