@@ -7,6 +7,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from checks import feeds, queries
+from shoplake.tables import VersionedTable
 
 
 def _rows(df):
@@ -61,3 +62,26 @@ def test_a_dimension_stores_its_own_cleansed_tables_only(spark, sf_dir, monkeypa
         stored.clear()
         queries.stored_dim(spark, sf_dir, name)
         assert stored == tables
+
+
+def test_rows_enter_buckets_without_a_shuffle(spark, tmp_path):
+    rows = spark.range(0, 3000, 1, 3).withColumn("task", F.spark_partition_id())
+    table = VersionedTable(spark, str(tmp_path / "t"), rows.schema, ["id"], buckets=4)
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    table.insert_absent(rows)
+    held = table.read().withColumn("file", F.input_file_name()).groupBy("file").agg(F.count_distinct("task").alias("n"))
+    assert {r.n for r in held.collect()} == {1}
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    table.insert_absent(spark.range(2000, 5000, 1, 3).withColumn("task", F.spark_partition_id()))
+    table.compact()
+    assert _rows(table.read().select("id")) == _rows(spark.range(5000))
+    assert len(table.read().inputFiles()) <= 8
+
+
+def test_keys_held_many_times_enter_a_filter_once(spark, tmp_path):
+    rows = spark.range(0, 400).select((F.col("id") % 40).alias("k"), "id")
+    table = VersionedTable(spark, str(tmp_path / "t"), rows.schema, ["k"], buckets=2)
+    table.replace(rows)
+    table.insert_absent(spark.range(0, 60).select(F.col("id").alias("k"), "id"))
+    assert table.read().count() == 420
+    assert table.read().where("k >= 40").count() == 20
