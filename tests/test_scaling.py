@@ -85,3 +85,9 @@ def test_keys_held_many_times_enter_a_filter_once(spark, tmp_path):
     table.insert_absent(spark.range(0, 60).select(F.col("id").alias("k"), "id"))
     assert table.read().count() == 420
     assert table.read().where("k >= 40").count() == 20
+
+
+def test_sales_files_are_compressed(spark, tmp_path):
+    rows = spark.createDataFrame([("a", None), ("", "c")], "x string, y string")
+    folder = queries._write_pos_files(rows, str(tmp_path / "csv"))
+    assert all(f.endswith(".csv.gz") for f in spark.read.text(folder).inputFiles())
