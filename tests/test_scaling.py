@@ -91,3 +91,18 @@ def test_sales_files_are_compressed(spark, tmp_path):
     rows = spark.createDataFrame([("a", None), ("", "c")], "x string, y string")
     folder = queries._write_pos_files(rows, str(tmp_path / "csv"))
     assert all(f.endswith(".csv.gz") for f in spark.read.text(folder).inputFiles())
+
+
+def test_large_files_are_dealt_to_many_tasks(spark, tmp_path):
+    events = [(None if i == 5 else str(i), "t", "S1", "N", "2024-01-01 00:00:00", "D1", '{"k":1}') for i in range(400)] * 2
+    columns = "event_id string, event_type string, store_id string, store_name string, events_ts string, device_id string, raw_payload string"
+    rows, written = spark.createDataFrame(events, columns), {}
+    for tasks in (None, 40):
+        folder = queries._write_iot_files(rows, str(tmp_path / f"{tasks}"), 10, "none", tasks)
+        text = spark.read.text(folder, wholetext=True)
+        # Elements of a file come in any order.
+        written[tasks] = sorted(str(sorted(r.value.strip("[]\n").split(",\n"))) for r in text.collect())
+        made = {f.rsplit("/", 1)[1].split("-")[1] for f in text.inputFiles()}
+    assert written[40] == written[None] and len(written[40]) == 41
+    # The session has 8 tasks a shuffle, whatever the size.
+    assert len(made) > 8
