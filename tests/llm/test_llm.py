@@ -422,6 +422,36 @@ def test_jaccard_join_blocks_and_near_copies(spark, monkeypatch):
     assert got == plain_classes(texts, 4, 85)
 
 
+def test_jaccard_join_bounds_what_is_on_disk(spark, monkeypatch):
+    """Blocks meet in rounds, shingles are counted in passes, only copies are shuffled to leave them out, and what was read last is deleted."""
+    for name, value in (("BLOCK_DOCS", 12), ("ROUND_BLOCKS", 3), ("PASS_TOKENS", 500)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    made, store = defaultdict(list), jaccard_join.materialize
+
+    def keep(df, label):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        made[label].append((store(df, label), plan))
+        return made[label][-1][0]
+
+    monkeypatch.setattr(jaccard_join, "materialize", keep)
+    base = [f"w{i}" for i in range(120)]
+    texts = {}
+    for d in range(100):
+        w = list(base)
+        w[d % 70] = f"x{d}"
+        texts[d] = " ".join(w)
+    texts |= {200 + d: texts[d] for d in range(5)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {tuple(r) for r in jaccard_join.jaccard_join(docs, 4, 85).collect()}
+    assert got == plain_classes(texts, 4, 85)
+    assert len(made["links"]) >= 2 and len(made["counted"]) >= 4
+    assert not any("LeftAnti" in plan for _, plan in made["counted"])
+    for label in ("signatures", "copies", "shared", "counted", "token-sets"):
+        for df, _ in made[label]:
+            with pytest.raises(Exception, match="PATH_NOT_FOUND|FILE_NOT_EXIST|FileNotFound|does not exist"):
+                df.count()
+
+
 def test_jaccard_join_odd_rows(spark, odd, empty):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_join(odd).collect()}
     assert got[1] == got[2] == (3, 1) and got[3] == (0, 3) and got[4] == (0, 4) and got[8] == (1, 8)
