@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections import Counter
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from checks import feeds, queries
+from shoplake import tables
 from shoplake.tables import VersionedTable
 
 
@@ -106,3 +109,41 @@ def test_large_files_are_dealt_to_many_tasks(spark, tmp_path):
     assert written[40] == written[None] and len(written[40]) == 41
     # The session has 8 tasks a shuffle, whatever the size.
     assert len(made) > 8
+
+
+def test_parts_of_a_feed_are_the_feed(spark, tmp_path, monkeypatch):
+    _tables(spark, str(tmp_path))
+    monkeypatch.setattr(feeds, "LINES_PER_PART", 2)
+    for text in (feeds.POS, feeds.ERP):
+        parts = feeds.feed_parts(spark, str(tmp_path), text)
+        whole = feeds.feed(spark, str(tmp_path), text)
+        assert len(parts) == 4 and all(p.schema == whole.schema for p in parts)
+        assert sum((_rows(p) for p in parts), Counter()) == _rows(whole)
+        assert sum(p.count() > 0 for p in parts) >= 2
+    monkeypatch.setattr(feeds, "LINES_PER_PART", 100)
+    assert len(feeds.feed_parts(spark, str(tmp_path), feeds.POS)) == 1
+
+
+def test_large_inserts_meet_held_keys_by_bucket(spark, tmp_path, monkeypatch):
+    """Where keys can't be broadcast, only rows of some buckets are shuffled at once."""
+    old = spark.createDataFrame([(i, "old") for i in range(100)] + [(None, "old")], "id long, x string")
+    new = spark.createDataFrame([(i, "new") for i in range(50, 200)] + [(150, "again"), (None, "new"), (None, "new")], old.schema)
+    table = VersionedTable(spark, str(tmp_path / "t"), old.schema, ["id"], buckets=4, broadcast_limit=0)
+    table.insert_absent(old)
+    met, insert = [], tables.insert_absent
+    monkeypatch.setattr(tables, "insert_absent", lambda held, rows, *a, **b: met.append(rows.count()) or insert(held, rows, *a, **b))
+    table.insert_absent(new)
+    assert _rows(table.read()) == _rows(old) + _rows(new.where("id is null or id >= 100"))
+    assert len(met) == 4 and max(met) < 100
+    assert not list(Path(tmp_path, "t").glob("staged/*"))
+    table.insert_absent(new.where("id is not null"))
+    assert table.read().where("x <> 'old'").count() == 103
+
+
+@pytest.mark.parametrize("name", ["handover"])
+def test_feeds_are_deleted_when_loaded(spark, sf_dir, name):
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    known = set(root.glob("shoplake/*/*"))
+    queries.QUERIES[name](spark, sf_dir)
+    made = set(root.glob("shoplake/*/*")) - known
+    assert made and not [d for d in made if "feed" in d.name or list(d.glob("src")) or list(d.glob("feeds/*"))]
