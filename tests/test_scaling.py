@@ -140,7 +140,7 @@ def test_large_inserts_meet_held_keys_by_bucket(spark, tmp_path, monkeypatch):
     assert table.read().where("x <> 'old'").count() == 103
 
 
-@pytest.mark.parametrize("name", ["handover"])
+@pytest.mark.parametrize("name", ["stream_pos", "handover"])
 def test_feeds_are_deleted_when_loaded(spark, sf_dir, name):
     root = Path(spark.conf.get("spark.checkpoint.dir"))
     known = set(root.glob("shoplake/*/*"))
