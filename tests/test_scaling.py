@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections import Counter
+from datetime import datetime
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegerType, StringType, StructField, StructType
 
 from checks import feeds, queries
 from shoplake import tables
+from shoplake.plans.lakehouse import MERGE_KEYS, SILVER_TABLES, Lakehouse
+from shoplake.schemas import pos_silver
 from shoplake.tables import VersionedTable
 
 
@@ -140,10 +144,35 @@ def test_large_inserts_meet_held_keys_by_bucket(spark, tmp_path, monkeypatch):
     assert table.read().where("x <> 'old'").count() == 103
 
 
-@pytest.mark.parametrize("name", ["stream_pos", "handover"])
+@pytest.mark.parametrize("name", ["stream_pos", "handover", "lakehouse"])
 def test_feeds_are_deleted_when_loaded(spark, sf_dir, name):
     root = Path(spark.conf.get("spark.checkpoint.dir"))
     known = set(root.glob("shoplake/*/*"))
     queries.QUERIES[name](spark, sf_dir)
     made = set(root.glob("shoplake/*/*")) - known
     assert made and not [d for d in made if "feed" in d.name or list(d.glob("src")) or list(d.glob("feeds/*"))]
+
+
+def test_sales_facts_are_made_in_parts(spark, tmp_path, monkeypatch):
+    """Parts of whole buckets give the facts that the whole table gives, with keys of their own."""
+    pos = spark.createDataFrame(
+        [(f"{i}", f"S{i % 3}", "N", None, None, None, f"C{i % 5}", None, None, f"P{i % 7}", "x", "c", "s", 1, 2, 0, 3, None, 1, None, 0.0, None) for i in range(200)] * 2,
+        StructType([StructField(f.name, StringType() if f.name in ("transaction_date", "transaction_ts", "processing_time") else f.dataType if not isinstance(f.dataType, DecimalType) else IntegerType()) for f in pos_silver()]),
+    ).select(*[F.col(f.name).cast(f.dataType) for f in pos_silver()])
+    pos = pos.withColumn("transaction_date", F.expr("case when cast(transaction_id as int) % 11 > 0 then date_add(date'2024-01-01', cast(transaction_id as int) % 9) end"))
+    found = {}
+    for rows in (1 << 24, 60):
+        lake = Lakehouse(spark, str(tmp_path / f"lake{rows}"))
+        for name, (table, schema) in SILVER_TABLES.items():
+            made = pos if name == "pos" else spark.createDataFrame([], schema)
+            VersionedTable(spark, lake.path("staging", table), schema, MERGE_KEYS.get(name, ())).replace(made)
+        parts = VersionedTable.read_parts
+        monkeypatch.setattr(VersionedTable, "read_parts", lambda self, number=None, rows=rows: parts(self, number, rows))
+        gold = lake.build_gold(run_ts=datetime(2024, 1, 1))
+        monkeypatch.undo()
+        sales = gold["fct_sales"]
+        assert sales.agg(F.count_distinct("sales_key")).first()[0] == sales.count() == 400
+        found[rows] = [_rows(sales.drop("sales_key")), _rows(gold["fct_daily_sales"])]
+        if rows == 60:
+            assert sales.where(F.col("sales_key") >= 1 << 58).count() > 0
+    assert found[60] == found[1 << 24] and len(found[60][1]) > 9
