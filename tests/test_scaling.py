@@ -153,6 +153,21 @@ def test_feeds_are_deleted_when_loaded(spark, sf_dir, name):
     assert made and not [d for d in made if "feed" in d.name or list(d.glob("src")) or list(d.glob("feeds/*"))]
 
 
+def test_filters_are_not_asked_for_very_many_keys(spark, tmp_path, monkeypatch):
+    rows = spark.range(0, 300).withColumn("x", F.lit(1))
+    table = VersionedTable(spark, str(tmp_path / "t"), rows.schema, ["id"], buckets=2)
+    table.replace(rows)
+    asked, may_hold = [], VersionedTable._may_hold
+    monkeypatch.setattr(VersionedTable, "_may_hold", lambda self, segments, wanted: asked.append(len(segments)) or may_hold(self, segments, wanted))
+    for most in (1_000, 20):
+        monkeypatch.setattr(tables, "ASKED", most)
+        found, _ = table.candidates(table.version(), rows.where("id % 2 = 0"))
+        assert len(found) == 2
+    assert asked == [2, 0]
+    table.insert_absent(spark.range(200, 400).withColumn("x", F.lit(2)))
+    assert table.read().count() == 400
+
+
 def test_sales_facts_are_made_in_parts(spark, tmp_path, monkeypatch):
     """Parts of whole buckets give the facts that the whole table gives, with keys of their own."""
     pos = spark.createDataFrame(
